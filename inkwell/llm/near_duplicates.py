@@ -158,25 +158,30 @@ def candidates(sketched: DataFrame) -> DataFrame:
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of small shards (block null), and the rows of large ones with the number of their block."""
         shard, members = None, []
-        tree, n = None, 0
+        n = 0
         out: list[tuple] = []
 
         def pairs_of(members: list[tuple[int, int]]) -> None:
             tree = BKTree()
             for cls, code in members:
                 for other in tree.within(code, RADIUS):
-                    out.append((other, cls, None, None, None))
+                    out.append((other, cls, None, None))
                 tree.add(code, cls)
 
+        def rows_of(members: list[tuple[int, int]]) -> None:
+            block = (n - 1) // BLOCK
+            out.extend((cls, code - (code >> 63 << 64), int(shard), block) for cls, code in members)
+
         def done() -> None:
             if n <= BLOCK:
                 if len(members) > 1:
                     pairs_of(members)
             else:
-                out.extend((cls, code, shard, (n - 1) // BLOCK, None) for cls, code in members)
+                rows_of(members)
 
         for batch in batches:
             cls, code, key = (batch.column(i).to_numpy() for i in range(3))
+            code = code.view(np.uint64)  # Python counts the bits of a number's absolute value
             if not len(key):
                 continue
             # only stretches of two or more rows matter, and the batch's last, which may go on
@@ -191,7 +196,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
                     if members and members[-1][0] == c:
                         continue
                     if len(members) == BLOCK:  # too many: the block goes out as rows, numbered
-                        out.extend((c0, d0, int(shard), (n - 1) // BLOCK, None) for c0, d0 in members)
+                        rows_of(members)
                         members = [(c, d)]
                     else:
                         members.append((c, d))
@@ -216,7 +221,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
 
     def pair_of_blocks(table: pa.Table) -> pa.Table:
         tree = BKTree()
-        cls, code = table.column("cls").to_pylist(), table.column("code").to_pylist()
+        cls, code = table.column("cls").to_pylist(), table.column("code").to_numpy().view(np.uint64).tolist()
         for c, d, t in zip(cls, code, table.column("tree").to_pylist()):
             if t:
                 tree.add(d, c)
