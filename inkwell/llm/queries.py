@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import encoding, mixing, near_duplicates, repetition, splitting
+from inkwell.llm import encoding, mixing, near_duplicates, personal, repetition, splitting
 from inkwell.session import checkpoint, table
 
 
@@ -53,6 +53,14 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(_sized(spark, d), targets), targets)
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.found(table(spark, d, "documents"))
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redacted(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit() and callable(f)}
 
