@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import encoding, mixing, near_duplicates, personal, repetition, splitting
+from inkwell.llm import encoding, mixing, near_duplicates, personal, repetition, splitting, truncation
 from inkwell.session import checkpoint, table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.found(table(spark, d, "page_results"))
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.report(truncation.scored(table(spark, d, "page_results")))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.found(table(spark, d, "blocks"))
 
