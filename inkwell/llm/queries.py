@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import encoding, mixing, near_duplicates, personal, repetition, splitting, truncation
+from inkwell.llm import encoding, markup, mixing, near_duplicates, personal, repetition, splitting, truncation
 from inkwell.session import checkpoint, table
 
 
@@ -34,6 +34,14 @@ def p3_shares(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repeated_share(repetition.items(table(spark, d, "blocks"), table(spark, d, "page_results")))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.found(table(spark, d, "blocks"), table(spark, d, "concept_documents"))
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.converted(markup.items(table(spark, d, "blocks"), table(spark, d, "concept_documents")))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.found(table(spark, d, "article_segments"), table(spark, d, "split_limits"))
 
