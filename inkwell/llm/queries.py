@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import encoding, markup, mixing, near_duplicates, personal, repetition, splitting, truncation
+from inkwell.llm import encoding, markup, mixing, near_duplicates, personal, repetition, scan_noise, splitting, truncation
 from inkwell.session import checkpoint, table
 
 
@@ -34,6 +34,18 @@ def p3_shares(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repeated_share(repetition.items(table(spark, d, "blocks"), table(spark, d, "page_results")))
 
 
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.items(table(spark, d, "blocks"), table(spark, d, "page_results"), table(spark, d, "excluded_fragments"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.found(table(spark, d, "blocks"), table(spark, d, "page_results"), table(spark, d, "excluded_fragments"))
+
+
+def p4_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.repaired(_scanned(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.found(table(spark, d, "blocks"), table(spark, d, "concept_documents"))
 
