@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from inkwell.plans import structure_queries
 
-def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/blocks.parquet").groupBy("block_type").count()
+AREAS = [structure_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for area in AREAS for name, (f, _) in area.Q.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for area in AREAS for name, (_, sql) in area.Q.items() if sql}
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries()["q158_fixed_chunks"](spark, sf_dir)

@@ -88,5 +88,6 @@ def container_headings(blocks: DataFrame) -> DataFrame:
     # running sums at both ends instead of a range join
     at = nxt.select("document_id", "block_id", "level", F.explode(F.array("pos", "next_pos")).alias("pos"), F.lit(True).alias("mark"))
     marked = at.unionByName(body, allowMissingColumns=True)
-    run = marked.withColumn("sum", F.max("upto").over(W.partitionBy("document_id").orderBy("pos").rangeBetween(W.unboundedPreceding, W.currentRow))).where("mark")
-    return run.groupBy("document_id", "block_id", "level").agg((F.coalesce(F.max("sum"), F.lit(0)) - F.coalesce(F.min("sum"), F.lit(0))).alias("body_chars")).where("body_chars < 200")
+    upto = F.max("upto").over(W.partitionBy("document_id").orderBy("pos").rangeBetween(W.unboundedPreceding, W.currentRow))
+    run = marked.withColumn("sum", F.coalesce(upto, F.lit(0))).where("mark")
+    return run.groupBy("document_id", "block_id", "level").agg((F.max("sum") - F.min("sum")).alias("body_chars")).where("body_chars < 200")
