@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.plans import structure_queries
+from inkwell.plans import knowledge_queries, retrieval_queries, structure_queries
 
-AREAS = [structure_queries]
+AREAS = [structure_queries, retrieval_queries, knowledge_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["q158_fixed_chunks"](spark, sf_dir)
+    return queries()["q170_rank_fusion"](spark, sf_dir)
