@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 # The names of HTML elements that count as markup, and those that break lines.
 BLOCK_TAGS = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 INLINE_TAGS = set("a abbr b big br cite code del dfn em font i img ins kbd mark math q s samp small span strike strong sub sup time tt u var wbr style script link meta title head label input button iframe svg video audio source ref nowiki".split())
+DEEPEST = 200  # levels of nesting; what is deeper hangs side by side below it, so that no text is lost
 VOID = {"br", "hr", "img", "input", "link", "meta", "source", "wbr"}
 
 _NAMES = "|".join(sorted(BLOCK_TAGS | INLINE_TAGS, key=len, reverse=True))
@@ -86,7 +87,7 @@ class _Tree(HTMLParser):
                     break
         node = Node(tag)
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        if tag not in VOID and len(self.open) < DEEPEST:
             self.open.append(node)
 
     def handle_endtag(self, tag: str) -> None:
