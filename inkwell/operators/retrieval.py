@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import tokens
+from inkwell.session import checkpoint
 
 K1, B = 1.5, 0.75
 QUERY_BLOCK = 2048  # query vectors that are in a worker's memory at once
@@ -42,6 +43,45 @@ def bm25(post: DataFrame, questions: DataFrame, question: str = "question_id", t
     return hit.groupBy("question_id", "unit_id").agg(F.sum(part).alias("score"))
 
 
+def bm25_top_k(post: DataFrame, questions: DataFrame, k: int, question: str = "question_id", text: str = "question") -> DataFrame:
+    """The k best of ``bm25`` per question (scores of a superset; ``top_k`` ranks them), without scoring every pair.
+
+    All but a question's most frequent and lightest terms are summed first. The k-th best of these sums bounds the
+    k-th best score from below. If the light terms together can't add that much, a unit with them alone is out, and
+    only units whose sum could still reach the bound get the frequent terms' parts, by their keys. Questions for which that doesn't
+    hold are scored over all their postings. The result is exact in either case."""
+    s = F.broadcast(index_statistics(post))  # one row
+    part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    idf = F.log(1 + (F.col("units") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    parts = post.join(s).select("unit_id", "term", part.alias("part"), "units")
+    terms = parts.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("most"), F.first("units").alias("units")).select("term", "df", "most", idf.alias("idf"))
+    asked = questions.select(F.col(question).alias("question_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("question_id", "term").agg(F.count("*").alias("qf"))
+    asked = asked.join(terms, "term").withColumn("w", F.col("qf") * F.col("idf"))
+    ub = F.col("w") * F.col("most")
+    up = W.partitionBy("question_id").orderBy("df", "term")
+    asked = asked.withColumn("upto", F.sum("df").over(up.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # the first term whose postings, with the rarer ones', can fill the list decides what the k-th best is worth
+    asked = asked.withColumn("deciding", F.min(F.when(F.col("upto") >= k, F.struct("upto", ub.alias("ub")))).over(W.partitionBy("question_id"))["ub"])
+    light = F.sum(ub).over(W.partitionBy("question_id").orderBy(F.desc("df"), F.desc("term")).rowsBetween(W.unboundedPreceding, W.currentRow))
+    asked = checkpoint(asked.withColumn("rare", F.coalesce(light > 0.5 * F.col("deciding"), F.lit(True))).select("question_id", "term", "w", "most", "rare"))
+    own = parts.select("unit_id", "term", "part")
+
+    rest = asked.where("not rare").groupBy("question_id").agg(F.sum(F.col("w") * F.col("most")).alias("rest"))
+    first = asked.where("rare").join(own, "term").groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("sum"))
+    place = F.row_number().over(W.partitionBy("question_id").orderBy(F.desc("sum")))
+    bound = F.max(F.when(F.col("place") == k, F.col("sum"))).over(W.partitionBy("question_id"))
+    first = first.withColumn("place", place).withColumn("bound", bound).join(rest, "question_id", "left")
+    slack = 1e-7  # more than rounding and the order of sums can move
+    holds = F.col("rest").isNull() | F.coalesce(F.col("rest") + slack < F.col("bound"), F.lit(False))
+    open_units = checkpoint(first.where(holds & (F.coalesce(F.col("sum") + F.coalesce("rest", F.lit(0.0)) + slack >= F.col("bound"), F.lit(True)))).select("question_id", "unit_id", "sum"))
+    frequent = asked.where("not rare").select("question_id", "term", "w")
+    added = open_units.join(frequent, "question_id").join(own, ["unit_id", "term"]).groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("more"))
+    done = open_units.join(added, ["question_id", "unit_id"], "left").select("question_id", "unit_id", (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("score"))
+    others = asked.join(open_units.select("question_id").distinct(), "question_id", "left_anti")
+    full = others.join(own, "term").groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
+    return done.unionByName(full)
+
+
 def top_k(scores: DataFrame, k: int, score: Column | None = None, ties: list[str] | None = None) -> DataFrame:
     """Rank 1 to k per question, by falling rounded score, then id."""
     order = W.partitionBy("question_id").orderBy(F.desc(F.round(score if score is not None else F.col("score"), 9)), *(ties or ["unit_id"]))

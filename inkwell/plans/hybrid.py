@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import code_points
 from inkwell.operators import retrieval, units
+from inkwell.session import checkpoint
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ class Config:
 
 
 def _bm25(questions: DataFrame, u: DataFrame, k: int) -> DataFrame:
-    return retrieval.top_k(retrieval.zero_padded(retrieval.bm25(retrieval.postings(u), questions), questions, u, k), k)
+    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(checkpoint(retrieval.postings(u)), questions, k), k))
+    return retrieval.top_k(retrieval.zero_padded(best, questions, u, k), k)
 
 
 @dataclass(frozen=True)

@@ -28,13 +28,13 @@ def t0(s, d) -> DataFrame:
 
 def bm25_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
     q = B.questions(s, d)
-    scores = retrieval.bm25(retrieval.postings(u), q)
-    return retrieval.top_k(retrieval.zero_padded(scores, q, u, k), k)
+    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(checkpoint(retrieval.postings(u)), q, k), k))
+    return retrieval.top_k(retrieval.zero_padded(best, q, u, k), k)
 
 
 def overlap_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
-    """A second list for fusion: the number of a question's distinct words in a unit."""
-    q = B.questions(s, d).select("question_id", F.explode(F.array_distinct(retrieval.tokens(F.col("question")))).alias("term"))
+    """A second list for fusion: the number of a question's distinct words of four letters and more in a unit."""
+    q = B.questions(s, d).select("question_id", F.explode(F.array_distinct(retrieval.tokens(F.col("question")))).alias("term")).where(F.char_length("term") >= 4)
     p = retrieval.postings(u).select("unit_id", "term")
     return retrieval.top_k(p.join(q, "term").groupBy("question_id", "unit_id").agg(F.count("*").cast("double").alias("score")), k)
 
@@ -42,7 +42,7 @@ def overlap_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
 _B = f"WITH RECURSIVE {B.T0}, {B.QUESTIONS}, {B.BM25}"
 _TOP = "bt AS (SELECT question_id, unit_id, score, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, unit_id) AS rank FROM ({}) QUALIFY rank <= 50)"
 _PADDED = "SELECT question_id, unit_id, score FROM bm UNION ALL SELECT question_id, unit_id, 0.0::DOUBLE FROM (SELECT q.question_id, u.unit_id FROM qu q CROSS JOIN t0 u) x WHERE NOT EXISTS (SELECT 1 FROM bm WHERE bm.question_id = x.question_id AND bm.unit_id = x.unit_id)"
-_OV = "ov AS (SELECT question_id, unit_id, row_number() OVER (PARTITION BY question_id ORDER BY count(*) DESC, unit_id) AS rank FROM po JOIN (SELECT DISTINCT question_id, term FROM aq) USING (term) GROUP BY question_id, unit_id QUALIFY rank <= 50)"
+_OV = "ov AS (SELECT question_id, unit_id, row_number() OVER (PARTITION BY question_id ORDER BY count(*) DESC, unit_id) AS rank FROM po JOIN (SELECT DISTINCT question_id, term FROM aq WHERE length(term) >= 4) USING (term) GROUP BY question_id, unit_id QUALIFY rank <= 50)"
 _RRF = "rr AS (SELECT question_id, unit_id, sum(1.0::DOUBLE / (60 + k)) AS score, row_number() OVER (PARTITION BY question_id ORDER BY round(sum(1.0::DOUBLE / (60 + k)), 9) DESC, unit_id) AS rank FROM (SELECT question_id, unit_id, rank AS k FROM bt UNION ALL SELECT question_id, unit_id, rank FROM ov) GROUP BY question_id, unit_id QUALIFY rank <= 50)"
 _LISTS = f"{_B}, {_TOP.format(_PADDED)}, {_OV}, {_RRF}"
 

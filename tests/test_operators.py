@@ -42,6 +42,18 @@ def test_bm25_keeps_repeats_and_pads(spark):
     assert rows(padded.where("question_id = 'q3'"), "rank", "unit_id") == [(1, "t1"), (2, "t2"), (3, "t3")]
 
 
+def test_pruned_bm25_equals_the_full_sums(spark):
+    rng = random.Random(7)
+    words = [f"w{min(int(rng.expovariate(0.05)), 400)}" for _ in range(6000)] + ["the"] * 2500 + ["of"] * 1500
+    rng.shuffle(words)
+    u = spark.createDataFrame([(f"u{k:04}", " ".join(words[k * 12 : k * 12 + rng.randint(1, 12)])) for k in range(800)], "unit_id string, retrieval_text string")
+    q = spark.createDataFrame([(f"q{k}", " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for k in range(40)] + [("e", ""), ("x", "unknown"), ("n", None)], "question_id string, question string")
+    post = retrieval.postings(u)
+    for k in (1, 5, 30):
+        want = rows(retrieval.top_k(retrieval.bm25(post, q), k).select("question_id", "rank", "unit_id", F.round("score", 6)))
+        assert rows(retrieval.top_k(retrieval.bm25_top_k(post, q, k), k).select("question_id", "rank", "unit_id", F.round("score", 6))) == want
+
+
 def test_cosine_equals_brute_force(spark):
     rng = random.Random(1)
     v = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(80)] + [(80, [0.0] * 8), (81, None)]
@@ -177,3 +189,19 @@ def test_plan_validation(spark):
     refs = spark.createDataFrame([("a", "T", "1"), ("b", "T", "2"), ("c", "P", "3"), ("d", "T", "1"), ("e", "T", "9")], "ref_id string, kind string, article_id string")
     plan = spark.createDataFrame([("a", "g1"), ("b", "g1"), ("c", "g2"), ("d", "g2"), ("zz", "g3")], "ref_id string, group_id string")
     assert rows(resolve.validated_plan(plan, refs)) == [("a", "g1", "kept"), ("b", "g1", "kept"), ("c", "single-c", "demoted"), ("d", "single-d", "demoted"), ("e", "single-e", "added")]
+
+
+def test_pipeline_stages_and_resume(spark):
+    from inkwell.plans import hybrid
+
+    u = spark.createDataFrame([(f"u{k}", t, t, f"c{k}") for k, t in enumerate(["harbour tariff rules", "school meals", "harbour school", "tariff tariff"])], "unit_id string, retrieval_text string, context_text string, context_id string")
+    q = spark.createDataFrame([("q1", "tariff rules"), ("q2", "school")], "question_id string, question string")
+    c = hybrid.Config(sparse_k=3, rerank_k=2, context_budget=25)
+    t = hybrid.trace(q, u, config=c)
+    assert {r[0] for r in t.select("stage").distinct().collect()} == {"sparse", "fused", "reranked"}
+    assert rows(t.where("stage = 'reranked' and rank = 1"), "question_id", "unit_id") == [("q1", "u0"), ("q2", "u1")]
+    assert {r.question_id: r.unit_ids for r in hybrid.contexts(t, u, config=c).collect()}["q1"] == ["u0"]
+    whole = hybrid.experiment(q, {"A": u, "B": u}, config=c).cache()
+    rest = hybrid.experiment(q, {"A": u, "B": u}, done=whole.where("arm = 'A'"), config=c)
+    assert {(r.arm, r.question_id) for r in rest.collect()} == {("B", "q1"), ("B", "q2")}
+    assert hybrid.Config(rrf_k=10).fingerprint() != c.fingerprint()
