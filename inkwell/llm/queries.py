@@ -31,7 +31,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_shares(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repeated_share(repetition.items(table(spark, d, "blocks"), table(spark, d, "page_results")))
+    return repetition.repeated_share(repetition.items(table(spark, d, "blocks"), table(spark, d, "page_results")), margin=None)
 
 
 def _scanned(spark: SparkSession, d: str) -> DataFrame:

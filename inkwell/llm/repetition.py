@@ -2,7 +2,7 @@
 
 The repeated share is the share of a normalised text's characters that lie in a stretch of ``WIDTH`` characters which also starts
 at an earlier position of the text. Gradient-boosted trees over statistics of the text, made for whole batches with numpy, score
-every text; those that may reach the threshold get the exact share. The trees are fitted on a bounded sample of rows whose share
+every text; those that may reach the threshold, or all if shares are asked for, get the exact share. The trees are fitted on a bounded sample of rows whose share
 is counted exactly, and never fall when a repetition statistic rises.
 """
 
@@ -89,11 +89,11 @@ def fit_model(rows: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     return trees.fit(features(texts), np.array([exact_share(t) for t in texts]), RISING)
 
 
-def repeated_share(rows: DataFrame, threshold: float = THRESHOLD, model: dict[str, np.ndarray] | None = None) -> DataFrame:
+def repeated_share(rows: DataFrame, threshold: float = THRESHOLD, model: dict[str, np.ndarray] | None = None, margin: float | None = MARGIN) -> DataFrame:
     """(item_table, item_key, n_chars, score, repeated_share) of every row with a content, once a key.
 
     ``score`` is the trees' estimate; ``repeated_share`` is exact for each text that may reach the threshold and null for those
-    the trees rule out. Empty and blank texts and texts shorter than a stretch have share 0; null contents have no row; long
+    the trees rule out; without a ``margin`` they rule out none, and every share is exact. Empty and blank texts and texts shorter than a stretch have share 0; null contents have no row; long
     texts are counted whole; other columns are not read.
     """
     model = model or fit_model(rows)
@@ -104,7 +104,7 @@ def repeated_share(rows: DataFrame, threshold: float = THRESHOLD, model: dict[st
                 batch = whole.slice(at, 1000)
                 texts = [normalised(t) for t in batch.column(2).to_pylist()]
                 score = trees.predict(model, features(texts))
-                share = [exact_share(t) if s >= threshold - MARGIN else (0.0 if len(t) <= WIDTH else None) for t, s in zip(texts, score)]
+                share = [exact_share(t) if margin is None or s >= threshold - margin else (0.0 if len(t) <= WIDTH else None) for t, s in zip(texts, score)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int32()), pa.array(score), pa.array(share, pa.float64())],
                     ["item_table", "item_key", "n_chars", "score", "repeated_share"],

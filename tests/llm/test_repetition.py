@@ -68,3 +68,17 @@ def test_empty(spark):
     b = spark.createDataFrame([], "block_id string, block_type string, content string")
     p = spark.createDataFrame([], "record_id long, content string")
     assert R.found(b, p).count() == 0
+
+
+def test_p3_shares_gives_every_text_its_share(spark, tmp_path):
+    from inkwell.llm import queries
+
+    rows = [(f"b{k}", "text", t) for k, t in enumerate(docs(random.Random(5), 120))] + [("e", "text", ""), ("s", "text", "short"), ("n", "text", None)]
+    spark.createDataFrame(rows, "block_id string, block_type string, content string").write.parquet(f"{tmp_path}/blocks.parquet")
+    page = "a line said twice, and both times alike. " * 2 + " ".join(str(k) for k in range(900))
+    spark.createDataFrame([(7, page), (8, None)], "record_id long, content string").write.parquet(f"{tmp_path}/page_results.parquet")
+    want = {("blocks", k): brute(normalised(t)) for k, _, t in rows if t is not None} | {("page_results", "7"): brute(normalised(page))}
+    assert any(0 < v < R.THRESHOLD - R.MARGIN for v in want.values())
+    out = {(r.item_table, r.item_key): r for r in queries.p3_shares(spark, str(tmp_path)).collect()}
+    assert out.keys() == want.keys() and all(abs(out[k].repeated_share - v) < 1e-12 for k, v in want.items())
+    assert any(r.score < R.THRESHOLD - R.MARGIN and r.n_chars > R.WIDTH for r in out.values())
