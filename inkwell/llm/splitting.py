@@ -2,7 +2,7 @@
 
 For each text the offsets of all units are prefix sums, and the offsets at which a cut is natural form sorted arrays by rank:
 paragraph, line, sentence, word. The end of a piece is the last boundary under the limit, by binary search, of the best rank
-that has one in the piece's later part; without any it is a hard cut. The next piece starts ``overlap`` characters before.
+that has one in the piece's later part, else of the best rank that has one beyond the overlap; without any it is a hard cut. The next piece starts ``overlap`` characters before.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 #: A cut is natural after each match; better ranks first. A sentence may end without a space in Chinese.
 BOUNDARIES = [re.compile(p) for p in (r"\n[^\S\n]*\n\s*", r"\n", r"[.!?…][\"”’»)\]]*\s+|[。！？；]+[”’」』）]*", r"\s+|[，、：]")]
-LATE = 0.5  # a boundary of a better rank is preferred only beyond this share of the limit
+LATE = 0.5  # a boundary of a better rank is preferred only beyond this share of the limit; earlier ones count if no rank has a later one
 
 
 def boundaries(text: str) -> list[np.ndarray]:
@@ -34,13 +34,9 @@ def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
         return [(0, n)]
     ranks, out, start = boundaries(text), [], 0
     while n - start > limit:
-        floor = start + max(overlap + 1, int(limit * LATE))
-        end = start + limit
-        for b in ranks:
-            k = int(np.searchsorted(b, start + limit, "right")) - 1
-            if k >= 0 and b[k] >= floor:
-                end = int(b[k])
-                break
+        last = [int(b[k - 1]) for b in ranks if (k := int(np.searchsorted(b, start + limit, "right")))]
+        late, early = start + max(overlap + 1, int(limit * LATE)), start + overlap + 1
+        end = next((b for floor in (late, early) for b in last if b >= floor), start + limit)
         out.append((start, end))
         start = end - overlap
     out.append((start, n))

@@ -16,6 +16,23 @@ def test_pieces_cover_fit_and_overlap(text, limit, overlap):
     assert rebuilt == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 120), st.sampled_from([" ", ". ", "\n", "\n\n", "。", "，"])), max_size=12), st.integers(2, 90), st.integers(0, 90))
+def test_no_hard_cut_where_a_boundary_lies(parts, limit, overlap):
+    text = "".join("x" * n + end for n, end in parts)
+    shared = min(overlap, limit - 1)
+    natural = {int(b) for rank in P.boundaries(text) for b in rank}
+    for start, end in P.cuts(text, limit, overlap)[:-1]:
+        assert end in natural or end == start + limit and not any(start + shared < b <= end for b in natural)
+
+
+def test_an_early_boundary_comes_before_a_hard_cut():
+    text = "a" * 28 + "\n\n" + "b" * 300
+    assert P.cuts(text, 100, 10)[0] == (0, 30)
+    assert P.cuts("a" * 10 + " " + "b" * 18 + ". " + "c" * 300, 100, 10)[0] == (0, 31)
+    assert P.cuts(text, 100, 30)[0] == (0, 100)  # no progress beyond the overlap
+
+
 def test_natural_boundaries_come_first():
     text = "One sentence here. " * 4 + "\n\n" + "Another one follows. " * 4
     (a, b), *_ = P.cuts(text, 100, 10)
