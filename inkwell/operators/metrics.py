@@ -57,7 +57,17 @@ def confusion(df: DataFrame, gold: str, predicted: str, keys: list[str]) -> Data
     return c.withColumn("f1", safe(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
-def bootstrap(pairs: DataFrame, samples: int = 200, seed: int = 42) -> DataFrame:
+#: Up to so many numbered pairs go to every task of ``bootstrap``; more are joined to the draws by shuffles, with the same result.
+REPLICATED = 200_000
+
+
+def paired_differences(baseline: DataFrame, candidate: DataFrame, metric: str) -> DataFrame:
+    """(id, d) of each question that both arms have: candidate - baseline."""
+    both = baseline.select("question_id", F.col(metric).alias("b")).join(candidate.select("question_id", F.col(metric).alias("c")), "question_id")
+    return both.select(F.col("question_id").alias("id"), (F.col("c") - F.col("b")).alias("d"))
+
+
+def bootstrap(pairs: DataFrame, samples: int = 10_000, seed: int = 42) -> DataFrame:
     """Paired bootstrap of the mean of ``d``: each resample draws as many pairs as there are, by hash of (seed, sample, draw);
     the pairs are numbered in order of id. One row: mean, and the 2.5 and 97.5 percentiles of the resampled means.
 
@@ -71,7 +81,11 @@ def bootstrap(pairs: DataFrame, samples: int = 200, seed: int = 42) -> DataFrame
     draws = spark.range(samples * n).select((F.col("id") % samples).alias("sample"), (F.col("id") / samples).cast("long").alias("draw"))
     text = F.concat_ws(":", F.lit(str(seed)), "sample", "draw")
     draws = draws.select("sample", F.pmod(F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long"), F.lit(n)).alias("i"))
-    means = draws.groupBy("sample", "i").agg(F.count("*").alias("k")).join(numbered, "i").groupBy("sample").agg((F.sum(F.col("d") * F.col("k")) / n).alias("m"))
+    if n <= REPLICATED:
+        drawn = draws.join(F.broadcast(numbered), "i").withColumn("k", F.lit(1))  # no draw is shuffled, only sums of samples
+    else:
+        drawn = draws.groupBy("sample", "i").agg(F.count("*").alias("k")).join(numbered, "i")
+    means = drawn.groupBy("sample").agg((F.sum(F.col("d") * F.col("k")) / n).alias("m"))
     ci = means.agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
     return pairs.agg(F.count("*").alias("n"), F.avg("d").alias("mean")).join(F.broadcast(ci))
 

@@ -1,5 +1,6 @@
 """Expected values for small fixtures, and the defined results of empty and odd inputs."""
 
+import hashlib
 import math
 import random
 
@@ -153,6 +154,37 @@ def test_bootstrap(spark):
     assert rows(metrics.number_rows(spark.range(100).withColumnRenamed("id", "k"), "k", 4), "k", "i") == [(k, k) for k in range(100)]
 
 
+def resampled(ds, samples):
+    """Mean, 2.5 and 97.5 percentiles of the resampled means, draw by draw."""
+    n, means = len(ds), []
+    for s in range(samples):
+        means.append(math.fsum(ds[int(hashlib.sha256(f"42:{s}:{k}".encode()).hexdigest()[:15], 16) % n] for k in range(n)) / n)
+    means.sort()
+    at = [p * (samples - 1) for p in (0.025, 0.975)]
+    return math.fsum(ds) / n, *[means[math.floor(x)] + (means[math.ceil(x)] - means[math.floor(x)]) * (x % 1) for x in at]
+
+
+def test_bootstrap_draws_ten_thousand_resamples(spark, monkeypatch):
+    ds = [0.0, 0.0, 1.0, -0.25, 0.5, 0.125, 0.0, 3.0, 0.75]
+    p = spark.createDataFrame([(k, v) for k, v in enumerate(ds)], "id int, d double")
+    r = metrics.bootstrap(p).first()
+    assert tuple(r)[1:] == pytest.approx(resampled(ds, 10_000), abs=1e-9) and r.n == 9
+    near = tuple(metrics.bootstrap(p, 300).first())
+    monkeypatch.setattr(metrics, "REPLICATED", 0)
+    assert tuple(metrics.bootstrap(p, 300).first()) == pytest.approx(near, abs=1e-9)
+
+
+def test_paired_bootstrap_query_compares_two_arms(spark):
+    from inkwell.plans import base, retrieval_queries as Q
+
+    d = "/root/testdata/sf0.001"
+    gold, a = base.gold(spark, d), base.atoms(spark, d)
+    t0, t1 = ({r.question_id: r.recall_10 for r in metrics.unit_metrics(Q.ranked_atoms(spark, d, u), gold).collect()} for u in (units.fixed_chunks(a), units.parent_child(a)))
+    ds = [t1[q] - t0[q] for q in sorted(t0.keys() & t1.keys())]
+    r = Q.Q["q184_paired_bootstrap"][0](spark, d).first()
+    assert r.n == len(ds) > 1 and (r["mean"], r.low, r.high) == pytest.approx(resampled(ds, 10_000), abs=1e-5)
+
+
 def test_heading_stack_and_extent(spark):
     b = spark.createDataFrame([("d", k, 0, k, t, lv, c) for k, (t, lv, c) in enumerate([("title", 1, "A"), ("text", None, "x"), ("title", 2, "B"), ("title", 3, "C"), ("text", None, "y"), ("title", 2, "D"), ("title", 9, "E"), ("text", None, None)])], "document_id string, block_id long, page_idx int, reading_order int, block_type string, heading_level int, content string")
     got = [r.running_path for r in structure.heading_stack(b).orderBy("pos").collect()]
