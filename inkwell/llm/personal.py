@@ -51,6 +51,8 @@ ADDRESSES = [
     (("路", "街", "大道", "巷", "胡同", "弄", "信箱"), re.compile(r"(?:[一-鿿]{2,3}[省市县区乡镇])?[一-鿿]{1,3}(?:路|街|大道|巷|胡同|弄)\d+号(?:附\d+号)?(?:\d+单元)?(?:\d+室)?|(?:邮政)?信箱\d+号?")),
 ]
 _AT = re.compile(r"@|[(\[]at[)\]]", re.I)
+#: All that may follow the at sign in EMAIL.
+_HOST = re.compile(r"\s?[\w-]+(?:\s?(?:\.|\[dot\]|\(dot\))\s?[\w-]+)*", re.A | re.I)
 _HAN_MAIL = re.compile(r"(?<![一-鿿])([一-鿿]{2,4})(?:[,;，；]\s?|\s/\s|\s?[（(])(?:mailto:|<)?[\w.+-]+(?:\s?@|\s?\(at\)|\s?\[at\])", re.A)
 _BEFORE_MAIL = re.compile(r"(?:[,;]\s|\s/\s|\s\()(?:mailto:|<)?[\w.+-]+(?:\s?@|\s?\(at\)|\s?\[at\])", re.A)
 _SEED = re.compile(rf"(?<![A-Za-z])(?:{IDENTITY_SEEDS})(?![A-Za-z]*@)[^\d\n@]{{0,12}}$")
@@ -270,14 +272,18 @@ class Finder:
 
     @staticmethod
     def mails(text: str) -> list[tuple[int, int]]:
-        """Addresses, searched for only in the lines with an at sign."""
-        out, done = [], 0
+        """Addresses, searched for only in the lines with an at sign and those over which its address may go on."""
+        stretches: list[list[int]] = []
         for m in _AT.finditer(text):
-            if m.start() >= done:
-                begin, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end() + 1)
-                done = end if end >= 0 else len(text)
-                out += [x.span() for x in EMAIL.finditer(text, begin, done)]
-        return out
+            at, host = m.start(), _HOST.match(text, m.end())
+            begin = text.rfind("\n", 0, at - 1 if text[at - 1 : at] == "\n" else at) + 1
+            end = text.find("\n", host.end() if host else m.end())
+            end = end if end >= 0 else len(text)
+            if stretches and begin <= stretches[-1][1]:
+                stretches[-1] = [min(begin, stretches[-1][0]), max(end, stretches[-1][1])]
+            else:
+                stretches.append([begin, end])
+        return [x.span() for a, b in stretches for x in EMAIL.finditer(text, a, b)]
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         t, found = self.t, []

@@ -1,5 +1,8 @@
 import random
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from inkwell.llm import personal as P
 
 GIVEN = ["Alma", "Bruno", "Celia", "Dario", "Elena"]
@@ -74,3 +77,20 @@ def test_names_in_addresses_and_places_are_no_case(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.found(docs).count() == 0 and P.redacted(docs).count() == 0
+
+
+GAP = st.sampled_from(["", "", " ", "\n", "\n\n", " or "])
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["anna", "mailto:x.y", "é", "."]), GAP, st.sampled_from(["@", "(at)", "[AT]"]), GAP, st.sampled_from(["example", "a.b", "-"]), GAP, st.sampled_from([".", "[dot]", "(dot)"]), GAP, st.sampled_from(["org", "co.uk", "1"]), GAP), max_size=4))
+def test_addresses_equal_a_search_of_the_whole_text(parts):
+    text = "".join("".join(p) for p in parts)
+    assert P.Finder.mails(text) == [m.span() for m in P.EMAIL.finditer(text)]
+
+
+def test_a_wrapped_address_counts_for_its_first_line(spark):
+    wrapped = ["anna@example\n.org", "anna@example.\norg", "anna\n@example.org", "anna@\nexample.org", "x@example.com or anna\n@example.\nco.\norg"]
+    docs = spark.createDataFrame([(k, f"First.\nWrite to {t} soon.") for k, t in enumerate(wrapped)], "doc_id long, text string")
+    assert {tuple(r) for r in P.found(docs).collect() if r.pii_type == "email"} == {(k, 2, "email") for k in range(len(wrapped))}
+    assert all("anna" not in r.text and "example" not in r.text for r in P.redacted(docs).collect())
