@@ -67,3 +67,53 @@ def test_a_sentence_that_goes_on_is_no_case(spark):
 
 def test_empty(spark):
     assert T.scored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def silent_cuts(rng):
+    """Cuts only the lengths show: at a sentence's end, under a reason that says nothing."""
+    rows, by_ratio, by_limit = [], set(), set()
+    for k in range(1600):
+        text = page(rng)
+        tokens = round(len(text) / rng.uniform(3.6, 3.9))
+        if k % 20 == 0:
+            text, by_ratio = text[: text.find(".", len(text) // 3) + 1], by_ratio | {k}
+        elif k % 20 == 1 and len(text) > 700:
+            text, tokens, by_limit = text[:640].rsplit(" ", 1)[0] + " ", None, by_limit | {k}
+            text = text + "x" * (640 - len(text))
+        rows.append((k, f"d{k}", 0, text, "m1", "stop", tokens, 0.0, "s"))
+    return rows, {k for k in by_ratio if len(rows[k][3]) < 0.8 * 3.6 * rows[k][6]}, by_limit
+
+
+def test_the_censored_likelihoods_decide(spark, monkeypatch):
+    rows, by_ratio, by_limit = silent_cuts(random.Random(7))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.record_id for r in T.found(df).collect()}
+    assert by_ratio <= got and by_limit <= got and len(got) < 1.1 * len(by_ratio | by_limit) + 10
+    real = T.log_likelihoods
+    with monkeypatch.context() as m:  # without the survival function against the density
+        m.setattr(T, "log_likelihoods", lambda r, e, y, sd, *rest: real(r, e, y * math.nan, sd, *rest[:-1], None) if len(rest) > 4 else real(r, e, y * math.nan, sd, *rest))
+        assert not by_ratio & {r.record_id for r in T.found(df).collect()}
+
+
+def test_the_limit_fit_decides(spark, monkeypatch):
+    """Texts at a field limit that end like others: with a constant in place of the fitted ratio the rows change."""
+    rng = random.Random(8)
+    rows, cut = [], set()
+    for k in range(1200):
+        text = page(rng)
+        if k % 10 == 0 and len(text) > 560:
+            text, cut = text[:499].rsplit(" ", 1)[0].ljust(499, "e") + ".", cut | {k}
+        rows.append((k, f"d{k}", 0, text, "m1", "stop", None, 0.0, "s"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.record_id for r in T.found(df).collect()}
+    assert cut <= got and len(got) <= 1.1 * len(cut)
+    plain = T.limits
+    monkeypatch.setattr(T, "limits", lambda c: plain(c).withColumn("ratio", T.F.lit(-9.0)))
+    assert not cut & {r.record_id for r in T.found(df).collect()}
+
+
+def test_limits_of_many_values_are_all_kept(spark):
+    rng = random.Random(9)
+    rows = [(k, f"d{k}", 0, "w" * (1000 + 100 * (k % 40)), "m", "length", 100 + 50 * (k % 40), 0.0, "") for k in range(800)]
+    assert len({r.record_id for r in T.found(spark.createDataFrame(rows, SCHEMA)).collect()}) == 800
+    assert T.limits(spark.createDataFrame([("m", "chars", "alphabet", 1000 + 100 * k, 20) for k in range(40)], "source string, measure string, script string, value int, n long")).count() == 40
