@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 
 
-def fit(x: np.ndarray, y: np.ndarray, rising: set[int] = frozenset(), trees: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 48, least: int = 8) -> dict[str, np.ndarray]:
+def fit(x: np.ndarray, y: np.ndarray, rising: set[int] = frozenset(), trees: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 48, least: int = 8, cuts: dict[int, list[float]] | None = None) -> dict[str, np.ndarray]:
     """Squared loss on ``y``. Features in ``rising`` never lower the score: a split on one keeps left value <= right value and
-    passes the middle on as a bound to both sides. The result is flat arrays: one row a node, complete binary trees."""
+    passes the middle on as a bound to both sides. ``cuts`` are values a feature may be split at beside its quantiles. The result is flat arrays: one row a node, complete binary trees."""
     n, m = x.shape
     size = 2 ** (depth + 1) - 1
-    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(m)]
+    edges = [np.unique(np.concatenate([np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1]), (cuts or {}).get(f, [])])) for f in range(m)]
     binned = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], 1)
     base = float(y.mean()) if n else 0.0
     feature, cut, value = np.full((trees, size), -1, np.int32), np.zeros((trees, size)), np.zeros((trees, size))
