@@ -1,10 +1,11 @@
 """Near-duplicate texts: classes of equal texts, candidate pairs by sharded BK-trees, exact similarities, groups.
 
 Texts are normalised and cut into sets of ``width``-character substrings. Equal texts form a class, and only its representative
-goes on. A min-wise sketch of the set gives (a) a 64-bit code in which similar sets have a small Hamming distance and (b) the
+goes on. A min-wise sketch of the set gives (a) a 128-bit code in which similar sets have a small Hamming distance and (b) the
 shards: a text belongs to one shard for each band of ``ROWS`` sketch values, so that two texts at the threshold meet in a shard
-with near certainty, whatever is between them. A BK-tree is built over the codes of each shard with two or more texts; a query
-follows only the edges whose distance lies within the radius. What it returns is compared exactly.
+with near certainty, whatever is between them. Shards are coarse: many texts in one only share a phrase. A BK-tree is built over
+the codes of each shard with two or more texts; a query follows only the edges whose distance lies within the radius and tells the
+similar texts from those. What it returns, and nothing else, is compared exactly.
 
 A shard is read as a stretch of sorted rows. One with more than ``BLOCK`` texts isn't built in one task: it is cut into blocks,
 and each pair of blocks is a task's group with a tree over one block, queried by the other, so that a hot shard is spread and
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 from inkwell.llm.windows import mixed, normalised, window_hashes
 from inkwell.session import checkpoint
 
-BANDS, ROWS = 50, 5  # two sets of similarity 0.65 meet with probability 0.998, of 0.7 with 0.9999
-RADIUS = 26  # of 64 bits; at similarity 0.6 the distance is 12.8 on average, with deviation 3.2
+BANDS, ROWS = 42, 4  # two sets of similarity 0.6 meet with probability 0.997, of 0.65 with 0.9997
+BITS, RADIUS = 128, 45  # at similarity 0.6 the distance is 25.6 on average, with deviation 4.5; between unrelated sets 64 with 5.7
 BLOCK = 512
+SHARD_ROWS = 2_000_000  # rows of shards a task reads, about
+COPIES = 1_000  # members of a class of equal texts that meet in one task
 
 
 class BKTree:
@@ -68,7 +71,7 @@ class BKTree:
             open_nodes += [child for e, child in self.edges[at].items() if d - radius <= e <= d + radius]
 
 
-def sketches(texts: list[str], width: int, values: int = BANDS * ROWS, passes: int = 5) -> np.ndarray:
+def sketches(texts: list[str], width: int, values: int = BANDS * ROWS, passes: int = ROWS) -> np.ndarray:
     """Min-wise values, one row a text: in each pass the windows are thrown into bins by one hash and each bin keeps its
     smallest; an empty bin takes the next full one's, marked by the way gone."""
     bins = values // passes
@@ -93,16 +96,16 @@ def sketches(texts: list[str], width: int, values: int = BANDS * ROWS, passes: i
     return out
 
 
-def shard_rows(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit code, band keys) of each text."""
+def shard_rows(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower and upper 64 bits of the code, band keys) of each text."""
     s = sketches(texts, width)
-    bits = mixed(s[:, :64].copy(), 99) & np.uint64(1)
-    code = (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    bits = mixed(s[:, :BITS].copy(), 99) & np.uint64(1)
+    low, high = ((bits[:, k : k + 64] << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64) for k in (0, 64))
     keys = np.zeros((len(texts), BANDS), np.uint64)
     spread = s.reshape(len(texts), ROWS, BANDS)  # the values of a band come from different passes
     for r in range(ROWS):
         keys = mixed(keys ^ spread[:, r, :], r + 11)
-    return code, mixed(keys ^ np.arange(BANDS, dtype=np.uint64), 3)
+    return low, high, mixed(keys ^ np.arange(BANDS, dtype=np.uint64), 3)
 
 
 def _kept(batch: pa.RecordBatch, least: int) -> tuple[list[str], list[str], np.ndarray]:
@@ -130,7 +133,7 @@ def _given(rows: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def coded(rows: DataFrame, key: str, text: str, least: int, width: int) -> DataFrame:
-    """(cls, code, bands) of each class, once a partition of the input, so copies cost no sketches and no rows."""
+    """(cls, low, high, bands) of each class, once a partition of the input, so copies cost no sketches and no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -142,18 +145,25 @@ def coded(rows: DataFrame, key: str, text: str, least: int, width: int) -> DataF
                     if c not in seen:
                         seen.add(c)
                         new.append(k)
-                code, keys = shard_rows([texts[k] for k in new], width)
+                low, high, keys = shard_rows([texts[k] for k in new], width)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(new) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(cls[new]), pa.array(code.view(np.int64)), bands], ["cls", "code", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(cls[new]), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), bands], ["cls", "low", "high", "bands"])
 
-    return _given(rows, key, text).mapInArrow(run, "cls long, code long, bands array<long>")
+    return _given(rows, key, text).mapInArrow(run, "cls long, low long, high long, bands array<long>")
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of classes whose codes lie within the radius in a common shard."""
-    rows = sketched.select("cls", "code", F.explode("bands").alias("shard"))
+def _codes(low: np.ndarray, high: np.ndarray) -> list[int]:
+    """Codes as positive numbers: Python counts the bits of a number's absolute value."""
+    return [h << 64 | x for x, h in zip(low.view(np.uint64).tolist(), high.view(np.uint64).tolist())]
+
+
+def candidates(sketched: DataFrame, texts: int) -> DataFrame:
+    """Distinct (a, b), a < b, of classes whose codes lie within the radius in a common shard. ``texts``, about the number of
+    texts, sets the number of tasks."""
+    rows = sketched.select("cls", "low", "high", F.explode("bands").alias("shard"))
+    tasks = max(int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-texts * BANDS // SHARD_ROWS))
     # copies of one text from several partitions follow each other here and count once
-    rows = rows.repartition("shard").sortWithinPartitions("shard", "cls")
+    rows = rows.repartition(tasks, "shard").sortWithinPartitions("shard", "cls")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of small shards (block null), and the rows of large ones with the number of their block."""
@@ -165,12 +175,15 @@ def candidates(sketched: DataFrame) -> DataFrame:
             tree = BKTree()
             for cls, code in members:
                 for other in tree.within(code, RADIUS):
-                    out.append((other, cls, None, None))
+                    out.append((other, cls, None, None, None))
                 tree.add(code, cls)
 
         def rows_of(members: list[tuple[int, int]]) -> None:
             block = (n - 1) // BLOCK
-            out.extend((cls, code - (code >> 63 << 64), int(shard), block) for cls, code in members)
+            mask = (1 << 64) - 1
+            for cls, code in members:
+                low, high = code & mask, code >> 64
+                out.append((cls, low - (low >> 63 << 64), int(shard), block, high - (high >> 63 << 64)))
 
         def done() -> None:
             if n <= BLOCK:
@@ -180,8 +193,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
                 rows_of(members)
 
         for batch in batches:
-            cls, code, key = (batch.column(i).to_numpy() for i in range(3))
-            code = code.view(np.uint64)  # Python counts the bits of a number's absolute value
+            cls, low, high, key = (batch.column(i).to_numpy() for i in range(4))
             if not len(key):
                 continue
             # only stretches of two or more rows matter, and the batch's last, which may go on
@@ -192,7 +204,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
                 if key[s] != shard:
                     done()
                     shard, members, n = key[s], [], 0
-                for c, d in zip(cls[s:e].tolist(), code[s:e].tolist()):
+                for c, d in zip(cls[s:e].tolist(), _codes(low[s:e], high[s:e])):
                     if members and members[-1][0] == c:
                         continue
                     if len(members) == BLOCK:  # too many: the block goes out as rows, numbered
@@ -208,20 +220,20 @@ def candidates(sketched: DataFrame) -> DataFrame:
         yield as_batch(out)
 
     def as_batch(out: list[tuple]) -> pa.RecordBatch:
-        cols = [[r[i] for r in out] for i in range(4)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "shard", "block"])
+        cols = [[r[i] for r in out] for i in range(5)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "shard", "block", "high"])
 
-    first = checkpoint(rows.select("cls", "code", "shard").mapInArrow(shards, "a long, b long, shard long, block long"))
+    first = checkpoint(rows.select("cls", "low", "high", "shard").mapInArrow(shards, "a long, b long, shard long, block long, high long"))
     small = first.where("block is null").select("a", "b")
-    large = first.where("block is not null").select(F.col("a").alias("cls"), F.col("b").alias("code"), "shard", "block")
+    large = first.where("block is not null").select(F.col("a").alias("cls"), F.col("b").alias("low"), "high", "shard", "block")
     last = large.groupBy("shard").agg(F.max("block").alias("last"))
     # block i is the tree of the groups (i, j) for j >= i, and queries those of (j, i)
     met = large.join(last, "shard").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
-    met = met.select("cls", "code", "shard", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("tree"), (F.col("block") >= F.col("other")).alias("query"))
+    met = met.select("cls", "low", "high", "shard", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("tree"), (F.col("block") >= F.col("other")).alias("query"))
 
     def pair_of_blocks(table: pa.Table) -> pa.Table:
         tree = BKTree()
-        cls, code = table.column("cls").to_pylist(), table.column("code").to_numpy().view(np.uint64).tolist()
+        cls, code = table.column("cls").to_pylist(), _codes(table.column("low").to_numpy(), table.column("high").to_numpy())
         for c, d, t in zip(cls, code, table.column("tree").to_pylist()):
             if t:
                 tree.add(d, c)
@@ -234,7 +246,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
 
 def links(rows: DataFrame, members: DataFrame, key: str, text: str, threshold: float, width: int, least: int) -> DataFrame:
     """(a, b, similarity) of the classes at or above the threshold, counted exactly on the representatives' texts."""
-    pairs = checkpoint(candidates(coded(rows, key, text, least, width)))
+    pairs = checkpoint(candidates(coded(rows, key, text, least, width), members.count()))
     reps = members.groupBy("cls").agg(F.min("key").alias("key"))
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     texts = reps.join(wanted, "cls").join(_given(rows, key, text), "key").dropDuplicates(["cls"]).select("cls", "text")
@@ -245,9 +257,9 @@ def links(rows: DataFrame, members: DataFrame, key: str, text: str, threshold: f
         for batch in batches:
             keep, sims = [], []
             for k, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if x != cached:
-                    cached, grams = x, substrings(normalised(x), width)
-                other = substrings(normalised(y), width)
+                if y != cached:  # rows come in order of b
+                    cached, grams = y, substrings(normalised(y), width)
+                other = substrings(normalised(x), width)
                 common = len(grams & other)
                 sim = common / max(1, len(grams) + len(other) - common)
                 if sim >= threshold:
@@ -272,10 +284,15 @@ def similar_pairs(rows: DataFrame, key: str = "block_id", text: str = "content",
     least = max(least, width)
     members = checkpoint(classes(rows, key, text, least))
     near = links(rows, members, key, text, threshold, width, least)
-    across = near.join(members.select(F.col("cls").alias("a"), F.col("key").alias("x")), "a").join(members.select(F.col("cls").alias("b"), F.col("key").alias("y")), "b")
-    shared = members.groupBy("cls").count().where("count > 1").select("cls")
-    copies = members.join(shared, "cls")
-    same = copies.select("cls", F.col("key").alias("x")).join(copies.select("cls", F.col("key").alias("y")), "cls").where("x < y")
+    # a class of many copies is cut into parts of about COPIES members, and the parts meet in pairs
+    parts = members.groupBy("cls").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("parts"))
+    cut = members.join(parts, "cls").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    side = lambda c, k: cut.select(F.col("cls").alias(c), F.col("part").alias("part_" + c), F.col("key").alias(k))
+    spread = lambda df, c: df.join(parts.withColumnRenamed("cls", c), c).withColumn("part_" + c, F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    across = spread(spread(near.select("a", "b"), "a").join(side("a", "x"), ["a", "part_a"]), "b").join(side("b", "y"), ["b", "part_b"])
+    copies = cut.join(members.groupBy("cls").count().where("count > 1").select("cls"), "cls")
+    met = copies.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cls", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") <= F.col("other")).alias("first"), (F.col("part") >= F.col("other")).alias("second"))
+    same = met.where("first").select("cls", "i", "j", F.col("key").alias("x")).join(met.where("second").select("cls", "i", "j", F.col("key").alias("y")), ["cls", "i", "j"]).where("i < j or x < y")
     out = across.select("x", "y").unionByName(same.select("x", "y"))
     return out.select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"))
 
@@ -315,3 +332,12 @@ def groups(rows: DataFrame, key: str = "block_id", text: str = "content", thresh
 def found(blocks: DataFrame) -> DataFrame:
     pairs = similar_pairs(blocks.where("block_type = 'text'"))
     return pairs.select(F.col("left").alias("left_block_id"), F.col("right").alias("right_block_id"))
+
+
+def block_groups(blocks: DataFrame, atoms: DataFrame) -> DataFrame:
+    """(item_table, item_key, class_id, group_id, links, copies) of the text blocks and the evidence atoms made from them, in
+    common groups; rows under 200 normalised characters have none."""
+    b = blocks.where("block_type = 'text'").select(F.concat(F.lit("blocks:"), "block_id").alias("block_id"), "content")
+    a = atoms.where("block_type = 'text'").select(F.concat(F.lit("evidence_atoms:"), "atom_id").alias("block_id"), F.col("text").alias("content"))
+    cut = lambda c: F.split(c, ":", 2)
+    return groups(b.unionByName(a)).select(cut("key")[0].alias("item_table"), cut("key")[1].alias("item_key"), "class_id", "group_id", "links", "copies")

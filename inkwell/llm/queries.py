@@ -23,7 +23,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.groups(table(spark, d, "blocks").where("block_type = 'text'"))
+    return near_duplicates.block_groups(table(spark, d, "blocks"), table(spark, d, "evidence_atoms"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -43,6 +43,41 @@ def test_bk_tree_equals_a_scan():
             assert sorted(tree.within(c, radius)) == [k for k, x in enumerate(codes) if (x ^ c).bit_count() <= radius]
 
 
+def test_the_tree_decides_within_coarse_shards(spark, monkeypatch):
+    """Texts around one phrase share shards; the tree alone keeps them from the exact comparison."""
+    rng = random.Random(11)
+    phrase = text(rng, 20)
+    rows = [(f"p{k:03}", phrase + " " + text(rng, 22)) for k in range(200)]
+    df = spark.createDataFrame(rows, "block_id string, content string").repartition(2)
+    coded = N.checkpoint(N.coded(df, "block_id", "content", 200, 12))
+    kept = N.candidates(coded, 200).count()
+    monkeypatch.setattr(N, "RADIUS", N.BITS)
+    without = N.candidates(coded, 200).count()
+    assert without > 2_000 and kept < 0.1 * without
+    monkeypatch.setattr(N, "RADIUS", -1)
+    assert N.candidates(coded, 200).count() == 0
+
+
+def test_copies_of_a_hot_class_meet_in_parts(spark, monkeypatch):
+    rng = random.Random(12)
+    base, near = text(rng), None
+    near = base.split()
+    near[3] = "changed"
+    rows = [(f"c{k:03}", base) for k in range(60)] + [("n1", " ".join(near)), ("n2", " ".join(near)), ("o", text(rng))]
+    monkeypatch.setattr(N, "COPIES", 7)
+    got = [(r.left, r.right) for r in N.similar_pairs(spark.createDataFrame(rows, "block_id string, content string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
+def test_atoms_are_in_the_groups_of_their_blocks(spark):
+    rng = random.Random(13)
+    t = text(rng)
+    blocks = spark.createDataFrame([("b1", "text", t), ("b2", "text", t + " more"), ("b3", "title", t)], "block_id string, block_type string, content string")
+    atoms = spark.createDataFrame([("d:p001:bb1", "text", t.strip()), ("d:p001:bb2", "text", t + " more")], "atom_id string, block_type string, text string")
+    out = {(r.item_table, r.item_key): r.group_id for r in N.block_groups(blocks, atoms).collect()}
+    assert set(out) == {("blocks", "b1"), ("blocks", "b2"), ("evidence_atoms", "d:p001:bb1"), ("evidence_atoms", "d:p001:bb2")} and len(set(out.values())) == 1
+
+
 def test_windows_hash_equal_exactly_for_equal_windows():
     texts = ["abcabcabc", "xxabc", "", "ab"]
     h, doc, pos = window_hashes(texts, 3)
