@@ -27,7 +27,7 @@ from inkwell.session import checkpoint
 BANDS, ROWS = 42, 4  # two sets of similarity 0.6 meet with probability 0.997, of 0.65 with 0.9997
 BITS, RADIUS = 128, 45  # at similarity 0.6 the distance is 25.6 on average, with deviation 4.5; between unrelated sets 64 with 5.7
 BLOCK = 512
-SHARD_ROWS = 2_000_000  # rows of shards a task reads, about
+SHARD_ROWS = 500_000  # rows of shards a task reads, about
 COPIES = 1_000  # members of a class of equal texts that meet in one task
 
 
