@@ -1,8 +1,10 @@
-"""Hashes of all fixed-width windows of many texts at once."""
+"""Shared by the operators: hashes of all fixed-width windows of many texts at once, and rows taken once a key."""
 
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(BASE, -1, 1 << 64)
@@ -47,3 +49,16 @@ def mixed(h: np.ndarray, seed: int) -> np.ndarray:
     h *= np.uint64(0xC4CEB9FE1A85EC53)
     h ^= h >> np.uint64(29)
     return h
+
+
+def once(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key before any work is done on it; of different rows under one key the greatest by value.
+
+    Keys that come more than once are found from the keys alone, so the other columns of the rest aren't grouped."""
+    rest = [c for c in rows.columns if c not in keys]
+    match = [F.col("a." + c).eqNullSafe(F.col("b." + c)) for c in keys]
+    twice = rows.select(*keys).groupBy(*keys).count().where("count > 1").drop("count")
+    single = rows.alias("a").join(twice.alias("b"), match, "left_anti").select(*rows.columns)
+    several = rows.alias("a").join(twice.alias("b"), match, "left_semi").select(*rows.columns)
+    several = several.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
+    return single.unionByName(several)

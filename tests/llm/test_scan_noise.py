@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from inkwell.llm import scan_noise as S
 
 WORDS = "reservoir council reviewed the harbour tariffs school meals before winter north board measured annual levels grant rules near river".split()
@@ -48,6 +50,26 @@ def test_found_and_repaired(spark):
     assert {tuple(r) for r in S.found(b, p, x).collect()} == flagged
 
 
+def test_the_vectors_decide_which_rare_words_are_misread(spark):
+    """Two rare words are one glyph from a frequent one; only that in the frequent word's company is a misreading."""
+    rng = random.Random(3)
+    field = "cow barn hay plough tractor meadow".split()
+    court = "judge jury verdict appeal lawyer bench".split()
+    texts = [" ".join(["the", rng.choice(field), "farm", rng.choice(field), "and", rng.choice(field)] * 6) for _ in range(150)]
+    texts += [" ".join(["the", rng.choice(court), "trial", rng.choice(court), "with", rng.choice(court)] * 6) for _ in range(150)]
+    texts += ["the cow near farm harn hay and cow", "the plough hench cow barn hay hench meadow tractor", "the judge verdict with jury"]
+    rows = spark.createDataFrame([("blocks", f"b{k}", t, None) for k, t in enumerate(texts)], "item_table string, item_key string, text string, anomalies array<string>")
+    got = {r.word: list(r.meant) for r in S.learn(rows).suspects.collect()}
+    assert got == {"harn": ["barn"]}  # hench stands where bench never does
+
+
+def test_skip_grams_learn_company():
+    counts = np.array([[50, 50, 1, 0], [40, 60, 0, 1], [0, 1, 50, 50], [1, 0, 60, 40]], float)
+    w, c = S.skip_grams(counts)
+    score = w @ c.T
+    assert (score[:2, :2] > score[:2, 2:].max()).all() and (score[2:, 2:] > score[2:, :2].max()).all()
+
+
 def test_a_hyphen_of_the_word_stays():
     k = S.Knowledge(lexicon={"cross": 90, "border": 90, "reservoir": 90})
     c = S.Cleaner(k)
