@@ -2,8 +2,8 @@
 
 HTML is parsed to a tree. Every node gets its composite text density: characters per tag, adjusted by the share of linked
 characters (so menus are thin and articles dense). The threshold is the smallest density on the path from the body to the
-densest node; among the block nodes the subtree with the largest sum of child densities is the content, and link-dominated
-blocks outside it that stay under the threshold are left out. The other languages are read line by line and span by span.
+densest node; among the block nodes the subtree with the largest sum of child densities is the content. Blocks with links outside
+it whose density is less than ``THIN`` of the threshold are left out: menus, footers and side bars. The other languages are read line by line and span by span.
 
 What the clean text keeps: a heading stands on its own line between blank lines, list items begin with ``•``, code is indented
 by four spaces, table cells are separated by tabs, formulas keep their TeX without delimiters. ``parts`` names each part's kind.
@@ -21,9 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.windows import once
+
 # The names of HTML elements that count as markup, and those that break lines.
 BLOCK_TAGS = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 INLINE_TAGS = set("a abbr b big br cite code del dfn em font i img ins kbd mark math q s samp small span strike strong sub sup time tt u var wbr style script link meta title head label input button iframe svg video audio source ref nowiki".split())
+THIN = 0.03  # of the body-path threshold; a paragraph with a link in it has more, a list of links far less
 DEEPEST = 200  # levels of nesting; what is deeper hangs side by side below it, so that no text is lost
 VOID = {"br", "hr", "img", "input", "link", "meta", "source", "wbr"}
 
@@ -58,7 +61,7 @@ _SPANS = [  # kind, expression, replacement
     ("markdown", re.compile(r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])"), None),
     ("markdown", re.compile(r"`([^`\n]+)`"), r"\1"),
 ]
-_HINT = r"[<&*_`\[{\\$|=~#]|''|(?m)^[ \t]{0,3}[>+-][ \t]"
+_HINT = r"[<&*_`\[{\\$|=~#]|''|(?m)^[ \t]*[>+-][ \t]|(?m)^[:;]"
 
 
 class Node:
@@ -143,7 +146,7 @@ def measure(node: Node) -> None:
 
 
 def boilerplate(root: Node) -> set[int]:
-    """ids of the block nodes to leave out: link-dominated, thinner than the threshold, outside the content subtree."""
+    """ids of the block nodes to leave out: with links, far thinner than the threshold, outside the content subtree."""
     measure(root)
     best, path = root, [root]
     stack = [(root, [root])]
@@ -164,7 +167,7 @@ def boilerplate(root: Node) -> set[int]:
     out, stack3 = set(), [k for k in root.children if not isinstance(k, str)]
     while stack3:
         n = stack3.pop()
-        if n.tag in ("script", "style", "head") or n.tag in BLOCK_TAGS and id(n) not in inside and n.density < threshold and n.link_tags >= 3 and n.link_chars > 0.6 * n.chars:
+        if n.tag in ("script", "style", "head") or n.tag in BLOCK_TAGS and id(n) not in inside and n.density < THIN * threshold and n.link_chars:
             out.add(id(n))
         else:
             stack3 += [k for k in n.children if not isinstance(k, str)]
@@ -363,9 +366,12 @@ def converted(rows: DataFrame, only_markup: bool = False) -> DataFrame:
     """(item_table, item_key, markup array<string>, clean_text, parts array<struct<kind,text>>) once a key.
 
     Null contents have no row (they hold nothing to clean); empty and blank texts come out empty; a text without markup comes
-    out as it is but for runs of spaces and blank lines; long texts are converted whole; other columns are not read. Signs that are no
+    out as it is but for runs of spaces and blank lines; long texts are converted whole; of different texts under one key the greatest counts (with ``only_markup`` a key comes as often as its
+    texts that hold markup); other columns are not read. Signs that are no
     markup (5 * 3, p < 0.05, $17, unit_cost, #18, {draft}, bullets) stay as they are."""
     rows = rows.select("item_table", "item_key", "content")
+    if not only_markup:
+        rows = once(rows, ["item_table", "item_key"])
     if only_markup:  # a text without any sign of markup can't hold it
         rows = rows.where(F.col("content").rlike(_HINT))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string())]))
@@ -381,8 +387,8 @@ def converted(rows: DataFrame, only_markup: bool = False) -> DataFrame:
             )
 
     out = rows.mapInArrow(run, "item_table string, item_key string, markup array<string>, clean_text string, parts array<struct<kind:string,text:string>>")
-    return out.dropDuplicates(["item_table", "item_key"])
+    return out
 
 
 def found(blocks: DataFrame, concepts: DataFrame) -> DataFrame:
-    return converted(items(blocks, concepts), only_markup=True).select("item_table", "item_key")
+    return converted(items(blocks, concepts), only_markup=True).select("item_table", "item_key").distinct()

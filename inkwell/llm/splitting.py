@@ -1,7 +1,7 @@
 """Cutting oversized texts at natural boundaries, with an overlap.
 
-For each text the offsets of all units are prefix sums, and the offsets at which a cut is natural form sorted arrays by rank:
-paragraph, line, sentence, word. The end of a piece is the last boundary under the limit, by binary search, of the best rank
+A text is a sequence of units (words with what parts them); the prefix sums of their lengths are the offsets, and those at which a
+cut is natural form sorted arrays by rank: paragraph, line, sentence, word. The end of a piece is the last boundary under the limit, by binary search, of the best rank
 that has one in the piece's later part, else of the best rank that has one beyond the overlap; without any it is a hard cut. The next piece starts ``overlap`` characters before.
 """
 
@@ -15,13 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A cut is natural after each match; better ranks first. A sentence may end without a space in Chinese.
-BOUNDARIES = [re.compile(p) for p in (r"\n[^\S\n]*\n\s*", r"\n", r"[.!?…][\"”’»)\]]*\s+|[。！？；]+[”’」』）]*", r"\s+|[，、：]")]
+from inkwell.llm.windows import once
+
 LATE = 0.5  # a boundary of a better rank is preferred only beyond this share of the limit; earlier ones count if no rank has a later one
 
 
+_UNIT = re.compile(r"[^\s，、：。！？；]*(?:\s+|[，、：]|[。！？；]+[”’」』）]*\s*|$)")
+_ENDS = [re.compile(p) for p in (r"\n[^\S\n]*\n\s*$", r"\n\s*$", r"(?:[.!?…][\"”’»)\]]*\s+|[。！？；]+[”’」』）]*\s*)$")]
+
+
 def boundaries(text: str) -> list[np.ndarray]:
-    return [np.fromiter((m.end() for m in p.finditer(text)), np.int64) for p in BOUNDARIES]
+    """Sorted offsets by rank: each unit's end is the prefix sum of the unit lengths, and its rank what the unit ends with."""
+    units = [u for u in _UNIT.findall(text) if u]
+    offsets = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+    ranks = np.fromiter((next((k for k, e in enumerate(_ENDS) if e.search(u)), len(_ENDS)) for u in units), np.int64, len(units))
+    return [offsets[ranks <= k] if k == len(_ENDS) else offsets[ranks == k] for k in range(len(_ENDS) + 1)]
 
 
 def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
@@ -48,13 +56,14 @@ def split_items(items: DataFrame, limits: DataFrame, profiles: list[str] | None
 
     Lengths are counted from the content, never taken from char_count. With ``oversized_only`` texts within the limit aren't
     cut or shown; else they are one piece. Null and empty contents have no pieces; a null limit means no limit; rows that come
-    twice give their pieces once; further columns are not read; an empty table gives no rows.
+    twice give their pieces once, and of different texts under one id the greatest is cut; further columns are not read; an empty table gives no rows.
     """
     limits = limits.select("profile", "max_chars", F.coalesce("overlap_chars", F.lit(0)).alias("overlap_chars")).where("profile is not null and max_chars > 0")
     if profiles:
         limits = limits.where(F.col("profile").isin(profiles))
     rows = [tuple(r) for r in limits.distinct().collect()]  # the profiles: a fixed table of a few rows
     spans = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(m).alias("max_chars"), F.lit(o).alias("overlap_chars")) for p, m, o in rows]) if rows else F.expr("cast(array() as array<struct<profile:string,max_chars:int,overlap_chars:int>>)")
+    items = once(items.where(F.char_length("content") > 0).select("segment_id", "heading_path", "content"), ["segment_id"])
     items = items.select("segment_id", "heading_path", "content", F.explode(spans).alias("l")).select("segment_id", "heading_path", "content", "l.*")
     items = items.where(F.char_length("content") > (F.col("max_chars") if oversized_only else F.lit(0)))
 
@@ -69,8 +78,7 @@ def split_items(items: DataFrame, limits: DataFrame, profiles: list[str] | None
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["segment_id", "profile", "piece_no", "n_pieces", "start_char", "end_char", "heading_path", "content"])
 
-    out = items.mapInArrow(run, "segment_id string, profile string, piece_no int, n_pieces int, start_char int, end_char int, heading_path array<string>, content string")
-    return out.dropDuplicates(["segment_id", "profile", "piece_no"])
+    return items.mapInArrow(run, "segment_id string, profile string, piece_no int, n_pieces int, start_char int, end_char int, heading_path array<string>, content string")
 
 
 def found(items: DataFrame, limits: DataFrame, profile: str = "standard") -> DataFrame:

@@ -48,3 +48,35 @@ def test_tables(spark):
     assert out["concept_documents", "f"] == "H\n\n• a\n• b"
     empty = spark.createDataFrame([], "block_id string, content string")
     assert M.found(empty, spark.createDataFrame([], "filename string, body string")).count() == 0
+
+
+LINKS = "<ul>" + "".join(f"<li><a href='/{k}'>go {k}</a></li>" for k in range(8)) + "</ul>"
+BODY = "<p>" + "The council reviewed the tariffs before winter. " * 10 + "</p>"
+
+
+def test_the_densest_subtree_decides_what_stays():
+    """The same list of links is content inside the subtree with the largest sum of densities and furniture beside it."""
+    side = f"<body><div class=nav>{LINKS}</div><div>{BODY}{BODY}</div><footer><a href='/i'>Imprint</a> | <a href='/c'>Contact</a></footer></body>"
+    text = M.clean(M.convert(side)[1])
+    assert "go 3" not in text and "Imprint" not in text and text.count("council") == 20
+    inside = f"<body><div>{BODY}{LINKS}{BODY}</div></body>"
+    assert "go 3" in M.clean(M.convert(inside)[1])
+
+
+def test_short_paragraphs_and_lists_beside_the_content_stay():
+    page = f"<body><h2>Head</h2><div>{BODY}{BODY}</div><p>See <a href='/x'>the annex</a> on the tariffs of that year and the next.</p><ul><li>one</li><li>two</li></ul></body>"
+    text = M.clean(M.convert(page)[1])
+    assert text.startswith("Head") and "the annex" in text and "• one" in text and "• two" in text
+
+
+def test_without_the_density_furniture_stays(monkeypatch):
+    side = f"<body><div>{LINKS}</div><div>{BODY}{BODY}</div></body>"
+    monkeypatch.setattr(M, "boilerplate", lambda root: set())
+    assert "go 3" in M.clean(M.convert(side)[1])
+
+
+def test_each_sign_convert_knows_is_in_the_hint():
+    import re
+
+    for t in (";term\n:meaning", "      - deep item", "\t\t+ item", "> quote"):
+        assert M.convert(t)[0] and re.search(M._HINT.replace("(?m)", ""), t, re.M)
