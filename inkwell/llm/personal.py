@@ -5,7 +5,8 @@
 2. Bootstrapping. Candidates before an e-mail address seed the given names; numbers with a country code and numbers behind a
    seed keyword seed the number types. All documents are searched for candidates with their left and right contexts; Spark sums
    the pattern-instance graph and scores it in rounds: a pattern is trusted if nearly all it surrounds is trusted, an instance
-   if most of its uses lie in trusted patterns.
+   if most of its uses lie in trusted patterns. The instances are given names for persons and shapes (digits as 0) for numbers,
+   so a context no seed ever stood in is learned from the shapes it shares with trusted ones.
 3. Extraction. A candidate is a mention if its instance or a context is trusted; so unseen names are found in known contexts.
 """
 
@@ -25,7 +26,8 @@ from inkwell.session import checkpoint
 TYPES = ("email", "phone", "identity_number", "street_address", "person_name")
 ROUNDS = 3
 TRUST = 0.75  # the share of trusted instances that makes a pattern trusted
-LIST_BOUND = 20_000  # patterns or instances sent to the workers, at most; the grammar of contexts is far smaller
+SUPPORT = 1e-6  # of all uses: what is learned must be used so often (and 3 times), so no list has more than 1 / SUPPORT entries
+SHAPED = {True: 0.4, False: 0.8}  # the share of a number shape's uses that must be of one type before the shape speaks for it: with letters, digits only
 
 # Words that begin or mark a shape.
 TITLES = r"Mrs|Mr|Ms|Dr|Prof|Frau|Herr|Mme|Mlle|M|Sra|Sr|Srta|Doña|Don"
@@ -118,7 +120,12 @@ def candidates(text: str) -> Iterator[tuple[str, str, int, int]]:
     for m in names_in(text):
         yield "name", m["given"] or m["given2"], m.start(), m.end()
     for m in NUMBER.finditer(text):
-        yield "number", number_kind(m[0], text, m.start()), m.start(), m.end()
+        kind = number_kind(m[0], text, m.start())
+        yield "number", kind if kind == "other" else f"{kind}|{shape_of(m[0])}", m.start(), m.end()
+
+
+def shape_of(number: str) -> str:
+    return re.sub(r"[A-Z]", "A", re.sub(r"\d", "0", number))
 
 
 def graph(docs: DataFrame, text: str) -> DataFrame:
@@ -215,27 +222,57 @@ def _spread(edges: DataFrame, seeds: DataFrame, least: int = 3) -> tuple[DataFra
     return trusted, patterns
 
 
+def _spread_numbers(edges: DataFrame) -> dict[str, DataFrame]:
+    """Trusted patterns of phone and identity numbers after some rounds between contexts and shapes. edges: kind, shape, pattern, n.
+
+    Strong kinds are the seeds. A context needs some seeds, or half its uses in trusted shapes, and nearly all of a likely kind; a
+    shape needs nearly all its uses in trusted contexts or as seeds."""
+    likely = {"phone": ("phone+", "phone?"), "identity": ("identity+", "identity?", "phone?")}
+    least_share = {"phone": 0.02, "identity": 0.3}
+    shapes: dict[str, DataFrame | None] = {"phone": None, "identity": None}
+    patterns: dict[str, DataFrame] = {}
+    said = edges.where("length(pattern) > 1 and pattern <> 'R@'")
+    for turn in range(ROUNDS):
+        for what, kinds in likely.items():
+            strong = F.col("kind") == what + "+"
+            known = said.join(shapes[what].withColumn("ok", F.lit(True)), "shape", "left") if shapes[what] is not None else said.withColumn("ok", F.lit(False))
+            sums = known.groupBy("pattern").agg(
+                F.sum("n").alias("good"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("seeds"), F.sum(F.when(F.col("kind").isin(*kinds), F.col("n")).otherwise(0)).alias("likely"),
+                F.sum(F.when(strong | F.coalesce("ok", F.lit(False)) & F.col("kind").isin(*kinds), F.col("n")).otherwise(0)).alias("mass"))
+            enough = (F.col("seeds") >= 2) & (F.col("seeds") >= least_share[what] * F.col("good")) | (F.col("mass") >= 3) & (F.col("mass") >= 0.5 * F.col("good"))
+            side = F.lit(True) if what == "identity" else F.col("pattern").startswith("L")
+            patterns[what] = sums.where(enough & side & (F.col("likely") >= TRUST * F.col("good"))).select("pattern", "good")
+        for what in likely if turn + 1 < ROUNDS else ():
+            strong = F.col("kind") == what + "+"
+            # each use has a left and a right context; those that say nothing count only as seeds
+            uses = edges.where("pattern like 'L%' and shape <> ''").join(patterns[what].select("pattern", F.lit(True).alias("in")), "pattern", "left")
+            per = uses.groupBy("shape").agg(F.sum("n").alias("all"), F.sum(F.when(strong | F.col("in"), F.col("n")).otherwise(0)).alias("good"))
+            shapes[what] = checkpoint(per.where((F.col("good") >= 3) & (F.col("good") >= F.when(F.col("shape").contains("A"), SHAPED[True]).otherwise(SHAPED[False]) * F.col("all"))).select("shape"))
+    return patterns
+
+
 def learn(docs: DataFrame, text: str = "text") -> Trusted:
     edges = checkpoint(graph(docs, text))
+    floor = SUPPORT * (edges.agg(F.sum("n")).first()[0] or 0)
 
     names = edges.where("kind = 'name'").select("instance", "pattern", "n")
     total = names.groupBy("instance").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("pattern") == "R@", F.col("n")).otherwise(0)).alias("mail"))
     seeds = total.where("mail >= 2 and mail >= 0.1 * all").select("instance")
     given, patterns = _spread(names, seeds)
-    top = lambda df, c: {r[0] for r in df.orderBy(F.desc("good"), c).limit(LIST_BOUND).select(c).collect()} if "good" in df.columns else {r[0] for r in df.orderBy(c).limit(LIST_BOUND).collect()}
+    given = given.join(total.select("instance", F.col("all").alias("good")), "instance")
+    held = lambda df, c: {r[0] for r in df.where(F.col("good") >= floor).select(c).collect()}
 
-    numbers = edges.where("kind = 'number'")
-    share = numbers.groupBy("pattern").agg(*[F.sum(F.when(F.col("instance").isin(*v), F.col("n")).otherwise(0)).alias(k) for k, v in (("phone", ("phone+",)), ("ident", ("identity+",)), ("likely", ("phone+", "phone?")), ("maybe", ("identity+", "identity?", "phone?")))], F.sum("n").alias("all"))
-    phones = share.where(f"pattern like 'L_%' and phone >= 2 and phone >= 0.02 * all and likely >= {TRUST} * all").select("pattern", F.col("all").alias("good"))
-    idents = share.where(f"length(pattern) > 1 and ident >= 2 and ident >= 0.3 * all and maybe >= {TRUST} * all").select("pattern", F.col("all").alias("good"))
+    part = lambda k: F.coalesce(F.get(F.split("instance", r"\|", 2), F.lit(k)), F.lit(""))
+    numbers = _spread_numbers(checkpoint(edges.where("kind = 'number'").select(part(0).alias("kind"), part(1).alias("shape"), "pattern", "n")))
+    trusted = {k: held(v, "pattern") for k, v in numbers.items()}
 
-    surnames = [r[0] for r in edges.where("kind = 'han' and pattern = 'R@' and n >= 2").select("instance").distinct().orderBy("instance").limit(2_000).collect()]
+    surnames = sorted(r[0] for r in edges.where("kind = 'han' and pattern = 'R@'").where(F.col("n") >= max(2.0, floor)).select("instance").distinct().collect())
     han = checkpoint(han_graph(docs, text, surnames))
-    often = [r[0] for r in han.where("n >= 3").orderBy(F.desc("n"), "pattern").limit(2_000).select("pattern").collect()]
+    often = sorted(r[0] for r in han.where(F.col("n") >= max(3.0, floor)).select("pattern").collect())
     seen = han_totals(docs, text, often)
     share_han = han.withColumn("chars", F.substring("pattern", 2, 10)).join(seen.withColumnRenamed("pattern", "chars"), "chars")
-    good_han = {r[0] for r in share_han.where(f"n >= {TRUST} * total").select("pattern").orderBy("pattern").limit(2_000).collect()}
-    return Trusted(top(given, "instance"), top(patterns, "pattern"), top(phones, "pattern"), top(idents, "pattern"), good_han, set(surnames))
+    good_han = {r[0] for r in share_han.where(F.col("n") >= max(3.0, floor)).where(f"n >= {TRUST} * total").select("pattern").collect()}
+    return Trusted(held(given, "instance"), held(patterns, "pattern"), trusted["phone"], trusted["identity"], good_han, set(surnames))
 
 
 def _context(pattern: str) -> str:

@@ -6,6 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.session import checkpoint
+
+SENT_KEYS = 200_000  # keys that come more than once are broadcast up to this number
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -57,8 +60,9 @@ def once(rows: DataFrame, keys: list[str]) -> DataFrame:
     Keys that come more than once are found from the keys alone, so the other columns of the rest aren't grouped."""
     rest = [c for c in rows.columns if c not in keys]
     match = [F.col("a." + c).eqNullSafe(F.col("b." + c)) for c in keys]
-    twice = rows.select(*keys).groupBy(*keys).count().where("count > 1").drop("count")
-    single = rows.alias("a").join(twice.alias("b"), match, "left_anti").select(*rows.columns)
-    several = rows.alias("a").join(twice.alias("b"), match, "left_semi").select(*rows.columns)
+    twice = checkpoint(rows.select(*keys).groupBy(*keys).count().where("count > 1").drop("count"))
+    b = F.broadcast(twice).alias("b") if twice.count() <= SENT_KEYS else twice.alias("b")  # beyond that the rows are shuffled
+    single = rows.alias("a").join(b, match, "left_anti").select(*rows.columns)
+    several = rows.alias("a").join(b, match, "left_semi").select(*rows.columns)
     several = several.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
     return single.unionByName(several)

@@ -94,3 +94,23 @@ def test_a_wrapped_address_counts_for_its_first_line(spark):
     docs = spark.createDataFrame([(k, f"First.\nWrite to {t} soon.") for k, t in enumerate(wrapped)], "doc_id long, text string")
     assert {tuple(r) for r in P.found(docs).collect() if r.pii_type == "email"} == {(k, 2, "email") for k in range(len(wrapped))}
     assert all("anna" not in r.text and "example" not in r.text for r in P.redacted(docs).collect())
+
+
+def test_rounds_learn_number_contexts_no_seed_stood_in(spark):
+    """Kennziffer is no seed word: its context is learned from the shapes it shares with seeded numbers, and then finds a
+    number of another shape."""
+    rng = random.Random(5)
+    no = lambda: f"{rng.randint(10, 99)}-{rng.randint(10000, 99999)}-{rng.choice('XYZ')}"
+    rows = [(k, f"The clerk checked DNI {no()} at the counter.") for k in range(12)]
+    rows += [(100 + k, f"Er nannte die Kennziffer {no()} am Schalter.") for k in range(12)]
+    rows += [(200, "Er nannte die Kennziffer 4711 2233 90 am Schalter."), (201, "Der Bestand umfasst 4711 2233 90 Posten.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in P.found(df).collect() if r.pii_type == "identity_number"}
+    assert got == set(range(12)) | set(range(100, 112)) | {200}
+
+
+def test_without_rounds_those_contexts_are_unknown(spark, monkeypatch):
+    rows = [(k, f"The clerk checked DNI {10 + k}-{23456 + k}-X at the counter.") for k in range(12)] + [(100 + k, f"Er nannte die Kennziffer {30 + k}-{83456 + k}-Y am Schalter.") for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(P, "ROUNDS", 1)
+    assert {r.doc_id for r in P.found(df).collect()} == set(range(12))
