@@ -11,10 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import tokens
-from inkwell.session import checkpoint
 
 K1, B = 1.5, 0.75
-QUERY_BLOCK = 2048  # query vectors that are in a worker's memory at once
+QUERY_BLOCK, UNIT_BLOCK = 1024, 4096  # queries and units whose scores are in a worker's memory at once (32 MB)
 
 
 def postings(units: DataFrame, unit: str = "unit_id", text: str = "retrieval_text") -> DataFrame:
@@ -43,43 +42,96 @@ def bm25(post: DataFrame, questions: DataFrame, question: str = "question_id", t
     return hit.groupBy("question_id", "unit_id").agg(F.sum(part).alias("score"))
 
 
-def bm25_top_k(post: DataFrame, questions: DataFrame, k: int, question: str = "question_id", text: str = "question") -> DataFrame:
-    """The k best of ``bm25`` per question (scores of a superset; ``top_k`` ranks them), without scoring every pair.
+def _blocks(rows: DataFrame, order: list[str], size: int, pack, schema: str) -> DataFrame:
+    """Rows of a partition, ``size`` at a time, as one packed row each (``pack`` makes it of a table)."""
 
-    All but a question's most frequent and lightest terms are summed first. The k-th best of these sums bounds the
-    k-th best score from below. If the light terms together can't add that much, a unit with them alone is out, and
-    only units whose sum could still reach the bound get the frequent terms' parts, by their keys. Questions for which that doesn't
-    hold are scored over all their postings. The result is exact in either case."""
-    s = F.broadcast(index_statistics(post))  # one row
-    part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, size - n)
+                held.append(part)
+                n += part.num_rows
+                batch = batch.slice(part.num_rows)
+                if n == size:
+                    yield from pack(pa.Table.from_batches(held)).to_batches()
+                    held, n = [], 0
+        if n:
+            yield from pack(pa.Table.from_batches(held)).to_batches()
+
+    return rows.select(*order).mapInArrow(run, schema)
+
+
+def _best(scores: np.ndarray, k: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, columns of its k best scores above ``least``), ties to the smaller column."""
+    cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k] if scores.shape[1] > k else np.full(len(scores), -np.inf)
+    for row, low in enumerate(cut):
+        at = np.flatnonzero((scores[row] >= low) & (scores[row] > least))
+        yield row, at[np.argsort(-scores[row, at], kind="stable")[:k]]
+
+
+def _one(values, kind: pa.DataType) -> pa.Array:
+    return pa.array([values], pa.list_(kind))
+
+
+def bm25_top_k(units: DataFrame, questions: DataFrame, k: int, unit: str = "unit_id", unit_text: str = "retrieval_text", question: str = "question_id", text: str = "question") -> DataFrame:
+    """(question_id, unit_id, score): the k best of ``bm25`` per question and block of units, a superset of the k best.
+
+    Units are packed into blocks of postings sorted by term, questions into blocks of weighted terms; each pair of blocks is
+    scored in memory, term by term, and sends k rows a question on. No posting and no partial sum is shuffled: only the document
+    frequencies and what each block ranks best. Blocks are bounded in rows, so memory is too."""
+    read = units.select(F.col(unit).cast("string").alias("unit_id"), tokens(F.col(unit_text)).alias("t"))
+    asked = questions.select(F.col(question).cast("string").alias("question_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("question_id", "term").agg(F.count("*").alias("qf"))
+    s = read.where("size(t) > 0").agg(F.count("*").alias("units"), F.avg(F.size("t")).alias("avgdl"))
+    df = read.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("units") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    parts = post.join(s).select("unit_id", "term", part.alias("part"), "units")
-    terms = parts.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("most"), F.first("units").alias("units")).select("term", "df", "most", idf.alias("idf"))
-    asked = questions.select(F.col(question).alias("question_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("question_id", "term").agg(F.count("*").alias("qf"))
-    asked = asked.join(terms, "term").withColumn("w", F.col("qf") * F.col("idf"))
-    ub = F.col("w") * F.col("most")
-    up = W.partitionBy("question_id").orderBy("df", "term")
-    asked = asked.withColumn("upto", F.sum("df").over(up.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    # the first term whose postings, with the rarer ones', can fill the list decides what the k-th best is worth
-    asked = asked.withColumn("deciding", F.min(F.when(F.col("upto") >= k, F.struct("upto", ub.alias("ub")))).over(W.partitionBy("question_id"))["ub"])
-    light = F.sum(ub).over(W.partitionBy("question_id").orderBy(F.desc("df"), F.desc("term")).rowsBetween(W.unboundedPreceding, W.currentRow))
-    asked = checkpoint(asked.withColumn("rare", F.coalesce(light > 0.5 * F.col("deciding"), F.lit(True))).select("question_id", "term", "w", "most", "rare"))
-    own = parts.select("unit_id", "term", "part")
-
-    rest = asked.where("not rare").groupBy("question_id").agg(F.sum(F.col("w") * F.col("most")).alias("rest"))
-    first = asked.where("rare").join(own, "term").groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("sum"))
-    place = F.row_number().over(W.partitionBy("question_id").orderBy(F.desc("sum")))
-    bound = F.max(F.when(F.col("place") == k, F.col("sum"))).over(W.partitionBy("question_id"))
-    first = first.withColumn("place", place).withColumn("bound", bound).join(rest, "question_id", "left")
-    slack = 1e-7  # more than rounding and the order of sums can move
-    holds = F.col("rest").isNull() | F.coalesce(F.col("rest") + slack < F.col("bound"), F.lit(False))
-    open_units = checkpoint(first.where(holds & (F.coalesce(F.col("sum") + F.coalesce("rest", F.lit(0.0)) + slack >= F.col("bound"), F.lit(True)))).select("question_id", "unit_id", "sum"))
-    frequent = asked.where("not rare").select("question_id", "term", "w")
-    added = open_units.join(frequent, "question_id").join(own, ["unit_id", "term"]).groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("more"))
-    done = open_units.join(added, ["question_id", "unit_id"], "left").select("question_id", "unit_id", (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("score"))
-    others = asked.join(open_units.select("question_id").distinct(), "question_id", "left_anti")
-    full = others.join(own, "term").groupBy("question_id", "unit_id").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
-    return done.unionByName(full)
+    weighed = asked.join(df, "term").join(F.broadcast(s)).select("question_id", "term", (F.col("qf") * idf).alias("w"), "avgdl")  # one row
+    lists = weighed.groupBy("question_id").agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("w"), F.first("avgdl").alias("avgdl"))
+
+    def pack_units(t: pa.Table) -> pa.Table:
+        t = t.sort_by("unit_id")
+        col = t.column("t").combine_chunks()
+        lengths = np.diff(col.offsets.to_numpy())
+        coded = col.flatten().dictionary_encode()
+        terms, n = coded.dictionary, t.num_rows
+        key, tf = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), lengths), return_counts=True) if len(coded) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        starts = np.searchsorted(key // n, np.arange(len(terms) + 1))
+        return pa.table([_one(t.column("unit_id").to_pylist(), pa.string()), _one(lengths.astype(np.int32), pa.int32()), _one(terms.to_pylist(), pa.string()), _one(starts.astype(np.int32), pa.int32()), _one((key % n).astype(np.int32), pa.int32()), _one(tf.astype(np.int32), pa.int32())], ["ids", "dl", "terms", "starts", "at", "tf"])
+
+    def pack_questions(t: pa.Table) -> pa.Table:
+        who, terms, w = t.column("question_id").to_pylist(), t.column("terms").combine_chunks(), t.column("w").combine_chunks()
+        return pa.table([_one(who, pa.string()), _one(np.repeat(np.arange(len(who), dtype=np.int32), np.diff(terms.offsets.to_numpy())), pa.int32()), _one(terms.flatten().to_pylist(), pa.string()), _one(w.flatten().to_numpy(), pa.float64()), pa.array([t.column("avgdl")[0].as_py()], pa.float64())], ["who", "row", "asked", "w", "avgdl"])
+
+    u = _blocks(read, ["unit_id", "t"], UNIT_BLOCK, pack_units, "ids array<string>, dl array<int>, terms array<string>, starts array<int>, at array<int>, tf array<int>")
+    q = _blocks(lists, ["question_id", "terms", "w", "avgdl"], QUERY_BLOCK, pack_questions, "who array<string>, row array<int>, asked array<string>, w array<double>, avgdl double")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, dl, terms, starts, at, tf, who, row, asked, w, avgdl = (batch.column(c)[i] for c in range(11))
+                number = {t: n for n, t in enumerate(terms.as_py())}
+                starts, at, dl = (x.values.to_numpy() for x in (starts, at, dl))
+                tf = tf.values.to_numpy().astype(np.float64)
+                part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[at] / avgdl.as_py())) if len(at) else tf
+                scores = np.zeros((len(who.values), len(dl)))
+                for r, term, weight in zip(row.values.to_numpy().tolist(), asked.as_py(), w.values.to_numpy().tolist()):
+                    n = number.get(term)
+                    if n is not None:
+                        a, b = starts[n], starts[n + 1]
+                        scores[r, at[a:b]] += weight * part[a:b]
+                yield _hits(np.round(scores, 9), who.values, ids.values, k, 0.0)
+
+    # a stated set of questions against all units, block by block
+    return u.crossJoin(q).mapInArrow(score, "question_id string, unit_id string, score double")
+
+
+def _hits(scores: np.ndarray, who: pa.Array, ids: pa.Array, k: int, least: float) -> pa.RecordBatch:
+    rows, cols = [], []
+    for row, at in _best(scores, k, least):
+        rows.append(np.full(len(at), row))
+        cols.append(at)
+    r, c = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols))
+    return pa.RecordBatch.from_arrays([who.take(pa.array(r)), ids.take(pa.array(c)), pa.array(scores[r, c])], ["question_id", "unit_id", "score"])
 
 
 def top_k(scores: DataFrame, k: int, score: Column | None = None, ties: list[str] | None = None) -> DataFrame:
@@ -100,44 +152,55 @@ def zero_padded(hits: DataFrame, questions: DataFrame, units: DataFrame, k: int)
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(question_id, unit_id, score, rank): exact cosine of every query with every other vector; 0 where a norm is 0.
 
-    The queries go through the workers in blocks of a bounded size; each partition keeps its k best a query, so k rows a query
-    and partition are shuffled."""
-    spark = vectors.sparkSession
-    numbered = queries.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(max(1, -(-queries.count() // QUERY_BLOCK)))).alias("block")).cache()
-    blocks = [r[0] for r in numbered.select("block").distinct().collect()]
-    parts = None
+    Vectors and queries are packed into blocks of bounded size, and each pair of blocks is one matrix product that sends k rows a
+    query on. It is one plan: nothing comes to the driver, and the vectors are read once."""
     kind = vectors.schema[key].dataType.simpleString()
-    for b in sorted(blocks):
-        rows = numbered.where(F.col("block") == b).select("id", "v").toArrow()
-        ids = rows.column("id").to_pylist()
-        q = np.array(rows.column("v").to_pylist(), np.float64)
-        sent = spark.sparkContext.broadcast((ids, q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            ids, q = sent.value
-            best_s, best_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                v = np.array(batch.column(1).to_pylist(), np.float64)
-                norm = np.linalg.norm(v, axis=1, keepdims=True)
-                s = q @ np.where(norm > 0, v / np.maximum(norm, 1e-300), 0.0).T
-                names = batch.column(0).to_numpy()
-                s[np.array(ids)[:, None] == names[None, :]] = -np.inf
-                s, names = np.hstack([best_s, np.round(s, 9)]), np.hstack([best_i, np.broadcast_to(names, s.shape)])
-                # ids ascend first, then a stable sort by falling score: ties keep the smaller id
-                by_id = np.argsort(names, axis=1, kind="stable")
-                s, names = np.take_along_axis(s, by_id, 1), np.take_along_axis(names, by_id, 1)
-                order = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                best_s, best_i = np.take_along_axis(s, order, 1), np.take_along_axis(names, order, 1)
-            rows = [(ids[r], best_i[r, j], float(best_s[r, j])) for r in range(len(ids)) for j in range(best_s.shape[1]) if np.isfinite(best_s[r, j])]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.float64())], ["question_id", "unit_id", "score"])
-
-        part = vectors.select(F.col(key).cast("long"), F.col(vector)).mapInArrow(run, "question_id long, unit_id long, score double")
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return spark.createDataFrame([], f"question_id {kind}, unit_id {kind}, score double, rank int")
-    return top_k(parts, k)
+    arrow = pa.string() if kind == "string" else pa.int64()
+    ident = "string" if kind == "string" else "bigint"
+
+    def packed(df: DataFrame, size: int, ids: str, values: str) -> DataFrame:
+        def pack(t: pa.Table) -> pa.Table:
+            t = t.sort_by("id")
+            return pa.table([_one(t.column("id").to_pylist(), arrow), _one(t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False), pa.float64())], [ids, values])
+
+        rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast(ident).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+        return _blocks(rows, ["id", "v"], size, pack, f"{ids} array<{ident}>, {values} array<double>")
+
+    def unit(x: np.ndarray) -> np.ndarray:
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+        return np.where(norm > 0, x / np.maximum(norm, 1e-300), 0.0)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, v, who, q = (batch.column(c)[i].values for c in range(4))
+                s = np.round(unit(q.to_numpy().reshape(len(who), -1)) @ unit(v.to_numpy().reshape(len(ids), -1)).T, 9)
+                place = {x: n for n, x in enumerate(ids.to_pylist())}
+                for r, x in enumerate(who.to_pylist()):
+                    if x in place:
+                        s[r, place[x]] = -np.inf
+                yield _hits(s, who, ids, k, -np.inf)
+
+    pairs = packed(vectors, UNIT_BLOCK, "ids", "v").crossJoin(packed(queries, QUERY_BLOCK, "who", "q"))  # a stated set against all, in blocks
+    return top_k(pairs.mapInArrow(score, f"question_id {ident}, unit_id {ident}, score double"), k)
+
+
+def hashed_vectors(rows: DataFrame, key: str, text: str, size: int = 64) -> DataFrame:
+    """(key, embedding): a plain encoder without a model: each distinct word adds 1 or -1 to one of ``size`` places, both taken
+    from the word's SHA-256. Another encoder is any DataFrame of the same form."""
+    h = F.sha2(F.col("w"), 256)
+    place = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(size))
+    sign = F.when(F.substring(h, 9, 1) < "8", 1.0).otherwise(-1.0)
+    words = rows.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("w")).select(key, place.cast("int").alias("i"), sign.alias("x"))
+    sums = [F.sum(F.when(F.col("i") == n, F.col("x")).otherwise(0.0)) for n in range(size)]
+    return words.groupBy(key).agg(F.array(*sums).alias("embedding"))
+
+
+def dense_hits(units: DataFrame, questions: DataFrame, k: int, encode=hashed_vectors) -> DataFrame:
+    """(question_id, unit_id, rank, score) by exact cosine of encoded texts."""
+    u = encode(units.select("unit_id", "retrieval_text"), "unit_id", "retrieval_text")
+    q = encode(questions.select(F.col("question_id").alias("unit_id"), "question"), "unit_id", "question")
+    return cosine_top_k(u, q, k, "unit_id", "embedding")
 
 
 def fuse(lists: DataFrame, k: int = 60, limit: int = 50, weight: Column | None = None) -> DataFrame:

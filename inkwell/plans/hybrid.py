@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,20 +31,23 @@ class Config:
 
 
 def _bm25(questions: DataFrame, u: DataFrame, k: int) -> DataFrame:
-    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(checkpoint(retrieval.postings(u)), questions, k), k))
+    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(u, questions, k), k))
     return retrieval.top_k(retrieval.zero_padded(best, questions, u, k), k)
 
 
+def _dense(questions: DataFrame, u: DataFrame, k: int) -> DataFrame:
+    return retrieval.dense_hits(u, questions, k)
+
+
 @dataclass(frozen=True)
 class Backend:
     """The stages as functions on DataFrames: sparse(questions, units, k) and dense(questions, units, k) give question_id,
     unit_id, rank; rerank(hits, questions, units, k) reorders them; count_tokens is a column expression."""
 
     sparse: Callable[[DataFrame, DataFrame, int], DataFrame] = _bm25
-    dense: Callable[[DataFrame, DataFrame, int], DataFrame] | None = None
+    dense: Callable[[DataFrame, DataFrame, int], DataFrame] | None = _dense
     rerank: Callable[[DataFrame, DataFrame, DataFrame, int], DataFrame] = retrieval.rerank
     count_tokens: Callable[[Column], Column] = code_points
-    names: dict = field(default_factory=dict)
 
 
 def trace(questions: DataFrame, u: DataFrame, backend: Backend | None = None, config: Config | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import metrics, retrieval, units
 from inkwell.plans import base as B
+from inkwell.plans import hybrid
 from inkwell.session import checkpoint, table
 
 Q: dict[str, tuple] = {}
@@ -27,22 +28,21 @@ def t0(s, d) -> DataFrame:
 
 
 def bm25_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
-    q = B.questions(s, d)
-    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(checkpoint(retrieval.postings(u)), q, k), k))
+    """``u`` should be checkpointed: it is read for the frequencies, the blocks and the padding."""
+    q = checkpoint(B.questions(s, d))
+    best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(u, q, k), k))
     return retrieval.top_k(retrieval.zero_padded(best, q, u, k), k)
 
 
-def overlap_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
-    """A second list for fusion: the number of a question's distinct words of four letters and more in a unit."""
-    q = B.questions(s, d).select("question_id", F.explode(F.array_distinct(retrieval.tokens(F.col("question")))).alias("term")).where(F.char_length("term") >= 4)
-    p = retrieval.postings(u).select("unit_id", "term")
-    return retrieval.top_k(p.join(q, "term").groupBy("question_id", "unit_id").agg(F.count("*").cast("double").alias("score")), k)
+def units_of(s, d) -> DataFrame:
+    return checkpoint(t0(s, d))
 
 
 _B = f"WITH RECURSIVE {B.T0}, {B.QUESTIONS}, {B.BM25}"
 _TOP = "bt AS (SELECT question_id, unit_id, score, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, unit_id) AS rank FROM ({}) QUALIFY rank <= 50)"
 _PADDED = "SELECT question_id, unit_id, score FROM bm UNION ALL SELECT question_id, unit_id, 0.0::DOUBLE FROM (SELECT q.question_id, u.unit_id FROM qu q CROSS JOIN t0 u) x WHERE NOT EXISTS (SELECT 1 FROM bm WHERE bm.question_id = x.question_id AND bm.unit_id = x.unit_id)"
-_OV = "ov AS (SELECT question_id, unit_id, row_number() OVER (PARTITION BY question_id ORDER BY count(*) DESC, unit_id) AS rank FROM po JOIN (SELECT DISTINCT question_id, term FROM aq WHERE length(term) >= 4) USING (term) GROUP BY question_id, unit_id QUALIFY rank <= 50)"
+_HASH = "(SELECT {id}, list(coalesce(x, 0) ORDER BY i) AS e FROM (SELECT {id}, i FROM (SELECT DISTINCT {id} FROM {src}) CROSS JOIN (SELECT unnest(range(64)) AS i)) g LEFT JOIN (SELECT {id}, CAST(('0x' || substr(sha256(term), 1, 8)) AS BIGINT) % 64 AS i, sum(CASE WHEN substr(sha256(term), 9, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0 END) AS x FROM (SELECT DISTINCT {id}, term FROM {src}) GROUP BY 1, 2) USING ({id}, i) GROUP BY {id})"
+_OV = f"qv AS {_HASH.format(id='question_id', src='aq')}, uv AS {_HASH.format(id='unit_id', src='po')}, dn AS (SELECT question_id, unit_id, round(CASE WHEN list_dot_product(q.e, q.e) = 0 OR list_dot_product(u.e, u.e) = 0 THEN 0 ELSE list_dot_product(q.e, u.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(u.e, u.e))) END, 9) AS score FROM qv q CROSS JOIN uv u), ov AS (SELECT question_id, unit_id, score, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, unit_id) AS rank FROM dn QUALIFY rank <= 50)"
 _RRF = "rr AS (SELECT question_id, unit_id, sum(1.0::DOUBLE / (60 + k)) AS score, row_number() OVER (PARTITION BY question_id ORDER BY round(sum(1.0::DOUBLE / (60 + k)), 9) DESC, unit_id) AS rank FROM (SELECT question_id, unit_id, rank AS k FROM bt UNION ALL SELECT question_id, unit_id, rank FROM ov) GROUP BY question_id, unit_id QUALIFY rank <= 50)"
 _LISTS = f"{_B}, {_TOP.format(_PADDED)}, {_OV}, {_RRF}"
 
@@ -59,7 +59,7 @@ def _(s, d):
 
 @query("q096_bm25_top50", f"{_B}, {_TOP.format(_PADDED)} SELECT question_id, unit_id, rank, round(score, 6) AS score FROM bt")
 def _(s, d):
-    return bm25_hits(s, d, t0(s, d)).select("question_id", "unit_id", F.col("rank").cast("long"), R9("score").alias("score"))
+    return bm25_hits(s, d, units_of(s, d)).select("question_id", "unit_id", F.col("rank").cast("long"), R9("score").alias("score"))
 
 
 _COS = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v)
@@ -82,13 +82,25 @@ def _(s, d):
 
 
 def fused(s, d, u: DataFrame) -> DataFrame:
-    lists = bm25_hits(s, d, u).select("question_id", "unit_id", "rank").unionByName(overlap_hits(s, d, u).select("question_id", "unit_id", "rank"))
+    lists = bm25_hits(s, d, u).select("question_id", "unit_id", "rank").unionByName(retrieval.dense_hits(u, B.questions(s, d), 50).select("question_id", "unit_id", "rank"))
     return retrieval.fuse(lists)
 
 
+@query("q173_dense_top50", f"{_B}, {_OV} SELECT question_id, unit_id, rank, round(score, 6) AS score FROM ov")
+def _(s, d):
+    return retrieval.dense_hits(units_of(s, d), B.questions(s, d), 50).select("question_id", "unit_id", F.col("rank").cast("long"), R9("score").alias("score"))
+
+
+@query("q173_hybrid_trace", f"{_B}, {_TOP.format(_PADDED)}, {_OV}, {_RRF}, tr AS (SELECT question_id, unit_id, rank, 'sparse' AS stage FROM bt UNION ALL SELECT question_id, unit_id, rank, 'dense' FROM ov UNION ALL SELECT question_id, unit_id, rank, 'fused' FROM rr) SELECT stage, question_id, count(*) AS hits, min(unit_id) FILTER (WHERE rank = 1) AS best, CAST(max(rank) AS BIGINT) AS longest FROM tr GROUP BY 1, 2")
+def _(s, d):
+    """The pipeline of ``hybrid`` with its dense stage, all questions in one plan; its trace up to fusion."""
+    t = hybrid.trace(B.questions(s, d), units_of(s, d)).where("stage <> 'reranked'")
+    return t.groupBy("stage", "question_id").agg(F.count("*").alias("hits"), F.min(F.when(F.col("rank") == 1, F.col("unit_id"))).alias("best"), F.max("rank").cast("long").alias("longest"))
+
+
 @query("q170_rank_fusion", f"{_LISTS} SELECT question_id, unit_id, rank, round(score, 6) AS score FROM rr")
 def _(s, d):
-    return fused(s, d, t0(s, d)).select("question_id", "unit_id", F.col("rank").cast("long"), R9("score").alias("score"))
+    return fused(s, d, units_of(s, d)).select("question_id", "unit_id", F.col("rank").cast("long"), R9("score").alias("score"))
 
 
 _RERANK = """, rk AS (SELECT rr.question_id, rr.unit_id, rr.rank AS fused_rank, count(DISTINCT po.term) / nullif(any_value(n.k), 0)::DOUBLE AS score FROM rr JOIN (SELECT question_id, count(DISTINCT term) AS k FROM aq GROUP BY 1) n USING (question_id) LEFT JOIN (SELECT DISTINCT question_id, term FROM aq) a ON a.question_id = rr.question_id LEFT JOIN po ON po.unit_id = rr.unit_id AND po.term = a.term GROUP BY 1, 2, 3),
@@ -207,5 +219,5 @@ def _(s, d):
 
 @query("q171_hit_validation", f"{_B}, {_TOP.format(_PADDED)} SELECT count(*) AS hits, count(DISTINCT question_id) AS questions, count(*) FILTER (WHERE score = 0) AS padded, CAST(max(rank) AS BIGINT) AS longest FROM bt")
 def _(s, d):
-    h = bm25_hits(s, d, t0(s, d))
+    h = bm25_hits(s, d, units_of(s, d))
     return h.agg(F.count("*").alias("hits"), F.count_distinct("question_id").alias("questions"), F.count_if(F.col("score") == 0).alias("padded"), F.max("rank").cast("long").alias("longest"))

@@ -43,7 +43,7 @@ def test_bm25_keeps_repeats_and_pads(spark):
     assert rows(padded.where("question_id = 'q3'"), "rank", "unit_id") == [(1, "t1"), (2, "t2"), (3, "t3")]
 
 
-def test_pruned_bm25_equals_the_full_sums(spark):
+def test_blocked_bm25_equals_the_full_sums(spark):
     rng = random.Random(7)
     words = [f"w{min(int(rng.expovariate(0.05)), 400)}" for _ in range(6000)] + ["the"] * 2500 + ["of"] * 1500
     rng.shuffle(words)
@@ -52,7 +52,7 @@ def test_pruned_bm25_equals_the_full_sums(spark):
     post = retrieval.postings(u)
     for k in (1, 5, 30):
         want = rows(retrieval.top_k(retrieval.bm25(post, q), k).select("question_id", "rank", "unit_id", F.round("score", 6)))
-        assert rows(retrieval.top_k(retrieval.bm25_top_k(post, q, k), k).select("question_id", "rank", "unit_id", F.round("score", 6))) == want
+        assert rows(retrieval.top_k(retrieval.bm25_top_k(u, q, k), k).select("question_id", "rank", "unit_id", F.round("score", 6))) == want
 
 
 def test_cosine_equals_brute_force(spark):
