@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.plans import evidence_queries, knowledge_queries, more_queries, retrieval_queries, structure_queries
+from inkwell.plans import contract_queries, evidence_queries, knowledge_queries, more_queries, retrieval_queries, structure_queries
 
-AREAS = [structure_queries, retrieval_queries, knowledge_queries, more_queries, evidence_queries]
+AREAS = [structure_queries, retrieval_queries, knowledge_queries, more_queries, evidence_queries, contract_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

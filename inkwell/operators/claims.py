@@ -87,9 +87,12 @@ def blank_image(ink: Column, entropy: Column) -> Column:
 
 
 def pixel_box(box: Column, width: Column, height: Column) -> Column:
-    """A box in shares of the page as pixels within it."""
-    at = lambda i, n: F.least(F.greatest(F.round(box[i] * n), F.lit(0)), n).cast("int")
-    return F.array(at(0, width), at(1, height), at(2, width), at(3, height))
+    """A box in shares of the page as a pixel box of at least one pixel within it; null unless it is four shares of 0 to 1."""
+    at = lambda i, n: F.rint(box[i] * n).cast("int")
+    left, top = (F.greatest(F.lit(0), F.least(n - 1, at(i, n))) for i, n in ((0, width), (1, height)))
+    right, bottom = (F.greatest(lo + 1, F.least(n, at(i, n))) for lo, i, n in ((left, 2, width), (top, 3, height)))
+    valid = (F.size(box) == 4) & F.forall(box, lambda x: x.isNotNull() & (x >= 0) & (x <= 1))
+    return F.when(valid, F.array(left, top, right, bottom))
 
 
 def render(template: str, values: dict[str, Column]) -> Column:

@@ -48,37 +48,65 @@ def components(edges: DataFrame, a: str = "left_ref", b: str = "right_ref", most
 
 
 def constrained_clusters(judged: DataFrame) -> DataFrame:
-    """(node, cluster): edges judged same, complementary, related or separate are merged in order of edge id. Two clusters merge
-    only if a smaller representative was itself judged mergeable with the incoming side and no separate pair would meet.
-
-    The order matters, so it is a fold, run per connected component; components are what bounds a task's rows."""
-    comp = components(judged, "left_ref", "right_ref")
-    rows = judged.join(comp.withColumnRenamed("node", "left_ref"), "left_ref")
-
-    def fold(t: pa.Table) -> pa.Table:
-        edges = sorted(zip(*(t.column(c).to_pylist() for c in ("edge_id", "left_ref", "right_ref", "decision"))))
-        of: dict[str, str] = {}
-        members: dict[str, set[str]] = defaultdict(set)
-        merge, apart = set(), set()
-        for _, a, b, d in edges:
-            (merge if d in ("same", "complementary") else apart if d == "separate" else set()).add(frozenset((a, b)))
-            for x in (a, b):
-                of.setdefault(x, x)
-                members[of[x]].add(x)
-        for _, a, b, d in edges:
-            x, y = of[a], of[b]
-            if d not in ("same", "complementary") or x == y:
-                continue
-            low, high = min(x, y), max(x, y)
-            if not any(frozenset((low, m)) in merge for m in members[high]) or any(frozenset((p, q)) in apart for p in members[low] for q in members[high]):
-                continue
-            members[low] |= members.pop(high)
-            for m in members[low]:
+    """(node, cluster): edges judged same, complementary, related or separate; mergeable ones are taken in order of edge id.
+
+    Two clusters merge only if the smallest member of both was itself judged mergeable with the edge's own end on the other side,
+    no separate pair would meet, and all kinds agree (left_kind and right_kind, where given). A cluster is named by its smallest
+    member. The order matters, so it is a fold, run per component of the mergeable edges; components are what bounds a task's rows."""
+    kinds = [F.col(c) if c in judged.columns else F.lit("").alias(c) for c in ("left_kind", "right_kind")]
+    rows = judged.select("edge_id", "left_ref", "right_ref", "decision", *kinds)
+    comp = components(rows.where(F.col("decision").isin("same", "complementary")), "left_ref", "right_ref")
+    at = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias("of_" + c))
+    placed = rows.join(at("left_ref"), "left_ref", "left").join(at("right_ref"), "right_ref", "left")
+    alone = placed.select(F.explode(F.array(F.struct(F.col("left_ref").alias("node"), F.col("of_left_ref").alias("c")), F.struct(F.col("right_ref").alias("node"), F.col("of_right_ref").alias("c")))).alias("x")).where("x.c is null")
+    # other edges matter only where they hold two of one component apart
+    inside = placed.where("of_left_ref = of_right_ref").withColumnRenamed("of_left_ref", "component").select("component", *rows.columns)
+
+    def one(t: pa.Table) -> pa.Table:
+        of = fold(list(zip(*(t.column(c).to_pylist() for c in ("edge_id", "left_ref", "right_ref", "decision", "left_kind", "right_kind")))))
+        return pa.table({"node": sorted(of), "cluster": [of[n] for n in sorted(of)]})
+
+    return inside.groupBy("component").applyInArrow(one, "node string, cluster string").unionByName(alone.select(F.col("x.node").alias("node"), F.col("x.node").alias("cluster")).distinct())
+
+
+def fold(edges: list[tuple]) -> dict[str, str]:
+    """The merges of ``constrained_clusters`` over (edge_id, left, right, decision, left_kind, right_kind)."""
+    kind: dict[str, str] = {}
+    merge, apart = set(), defaultdict(set)
+    for _, a, b, decision, ka, kb in edges:
+        kind.setdefault(a, ka)
+        kind.setdefault(b, kb)
+        if decision in ("same", "complementary"):
+            merge.add(frozenset((a, b)))
+        elif decision == "separate":
+            apart[a].add(b)
+            apart[b].add(a)
+    members = {x: {x} for x in kind}  # by the cluster's smallest member; the smaller set is added to the larger
+    of = {x: x for x in kind}
+    shunned = {x: set(apart[x]) for x in kind}
+    for _, a, b, decision, _, _ in sorted(edges):
+        x, y = of[a], of[b]
+        if decision not in ("same", "complementary") or x == y:
+            continue
+        low, high = min(x, y), max(x, y)
+        incoming = b if low == x else a
+        if frozenset((low, incoming)) not in merge or kind[low] != kind[high]:
+            continue
+        few, many = sorted((x, y), key=lambda c: len(members[c]))
+        if not members[few].isdisjoint(shunned[many]):
+            continue
+        for m in members[few]:
+            of[m] = low
+        if few == low:
+            for m in members[many]:
                 of[m] = low
-        nodes = sorted(of)
-        return pa.table({"node": nodes, "cluster": [of[n] for n in nodes]})
-
-    return rows.groupBy("component").applyInArrow(fold, "node string, cluster string")
+        both, no = members[many], shunned[many]
+        both.update(members[few])
+        no.update(shunned[few])
+        for c in (x, y):
+            members.pop(c), shunned.pop(c)
+        members[low], shunned[low] = both, no
+    return of
 
 
 def partition_components(members: DataFrame, most_members: int = 24, most_weight: int = 42_000) -> DataFrame:

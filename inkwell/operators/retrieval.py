@@ -218,12 +218,27 @@ def rerank(fused: DataFrame, questions: DataFrame, units: DataFrame, keep: int =
     return top_k(s.select("question_id", "unit_id", "fused_rank", "score"), keep, ties=["fused_rank", "unit_id"])
 
 
-def search_concepts(concepts: DataFrame, questions: DataFrame, limit: int = 10) -> DataFrame:
-    """Weighted word search: 8 for each question word in the title, 2 in the type, and the word's count in the body; documents
-    in which any question word is missing everywhere are out. Order by falling score, then title and file."""
-    fields = concepts.select("filename", "title", F.explode(F.array(F.struct(F.lit(8).alias("w"), F.array_distinct(tokens(F.col("title"))).alias("t")), F.struct(F.lit(2).alias("w"), F.array_distinct(tokens(F.col("concept_type"))).alias("t")), F.struct(F.lit(1).alias("w"), tokens(F.col("body")).alias("t")))).alias("f"))
-    terms = fields.select("filename", "title", "f.w", F.explode("f.t").alias("term")).groupBy("filename", "title", "term").agg(F.sum("w").alias("points"))
-    asked = questions.select("question_id", F.array_distinct(tokens(F.col("question"))).alias("q")).select("question_id", F.size("q").alias("want"), F.explode("q").alias("term"))
-    s = terms.join(asked, "term").groupBy("question_id", "filename", "title").agg(F.sum("points").cast("double").alias("score"), F.count("*").alias("have"), F.first("want").alias("want")).where("have = want")
-    order = W.partitionBy("question_id").orderBy(F.desc("score"), "title", "filename")
-    return s.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("question_id", "filename", "score", "rank")
+def occurrences(text: Column, part: Column) -> Column:
+    """How often a part stands in a text, without overlaps."""
+    return ((F.char_length(text) - F.char_length(F.replace(text, part, F.lit("")))) / F.char_length(part)).cast("long")
+
+
+def search_concepts(concepts: DataFrame, searches: DataFrame) -> DataFrame:
+    """(query_id, filename, score, rank, total_matches): word search as served, many searches in one plan.
+
+    concepts: filename, concept_type, title, description, source, body. searches (a stated set): query_id, query, concept_type,
+    source, result_limit. A document matches if its type equals and its source contains what is asked (empty asks nothing) and every
+    word of the query stands in some field. Score: occurrences, 8 for the title, 4 description, 2 source, 1 body. Order: score,
+    title, file; 1 to 100 results."""
+    low = [F.lower(F.coalesce(c, F.lit(""))).alias("f_" + c) for c in ("title", "description", "source", "body")]
+    c = concepts.select("filename", "concept_type", F.coalesce("title", F.lit("")).alias("title"), *low)
+    words = F.filter(F.split(F.lower(F.trim("query")), r"\s+"), lambda w: w != "")
+    q = searches.select("query_id", words.alias("words"), F.col("concept_type").alias("want_type"), F.lower("source").alias("want_source"), F.greatest(F.lit(1), F.least(F.col("result_limit"), F.lit(100))).alias("result_limit"))
+    fields = ["f_title", "f_description", "f_source", "f_body"]
+    m = c.join(q, ((F.col("want_type") == "") | (F.col("want_type") == F.col("concept_type"))) & ((F.col("want_source") == "") | F.col("f_source").contains(F.col("want_source"))))
+    m = m.where(F.forall("words", lambda w: F.exists(F.array(*fields), lambda f: f.contains(w))))
+    score = F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s + sum((k * occurrences(F.col(f), w) for k, f in zip((8, 4, 2, 1), fields)), F.lit(0)))
+    found = m.select("query_id", "filename", "title", "result_limit", score.alias("score"))
+    total = found.groupBy("query_id").agg(F.count("*").alias("total_matches"))
+    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "title", "filename"))).where(F.col("rank") <= F.col("result_limit"))
+    return ranked.join(F.broadcast(total), "query_id").select("query_id", "filename", "score", "rank", "total_matches")  # a row a search

@@ -22,7 +22,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("q040_concept_filter", f"WITH {B.CONCEPTS}, w AS (SELECT filename, unnest(list_distinct({B.TOKENS.format('body')})) AS t FROM lc WHERE concept_type = 'topic' OR concept_type = 'Topic') SELECT filename FROM w WHERE t IN ('the', 'of') GROUP BY filename HAVING count(*) = 2")
 def _(s, d):
     t = retrieval.tokens(F.col("body"))
     return B.concepts(s, d).where(F.lower("concept_type") == "topic").where(F.array_contains(t, "the") & F.array_contains(t, "of")).select("filename")

@@ -95,13 +95,11 @@ def _(s, d):
     return j.select(F.col("a.segment_id").alias("left_id"), F.col("b.segment_id").alias("right_id"), (F.least("a.page_end", "b.page_end") - F.greatest("a.page_start", "b.page_start") + 1).alias("shared_pages"))
 
 
-@query("q055_unfinished_documents", f"WITH {B.DOCUMENTS_IR} SELECT document_id, parser FROM ld WHERE NOT EXISTS (SELECT 1 FROM page_results p WHERE p.document_id = ld.document_id) AND NOT EXISTS (SELECT 1 FROM blocks b WHERE b.document_id = ld.document_id)")
 def _(s, d):
     x = records.anti(B.documents_ir(s, d), table(s, d, "page_results").select("document_id"), "document_id")
     return records.anti(x, table(s, d, "blocks").select("document_id"), "document_id").select("document_id", "parser")
 
 
-@query("q056_atom_coverage", f"WITH {B.BLOCKS}, e AS (SELECT block_id FROM lb WHERE evidence_eligible AND trim(coalesce(content, ''), chr(32) || chr(9) || chr(10) || chr(13)) <> '') SELECT block_id, 'evidence_atoms' AS missing_in FROM e WHERE block_id NOT IN (SELECT block_id FROM evidence_atoms) UNION ALL SELECT DISTINCT block_id, 'blocks' FROM evidence_atoms WHERE block_id NOT IN (SELECT block_id FROM e)")
 def _(s, d):
     e = B.blocks(s, d).where("evidence_eligible").where(F.trim(F.coalesce("content", F.lit("")), F.lit(" \t\n\r")) != "")
     return records.two_way_audit(e, table(s, d, "evidence_atoms"), "block_id", "blocks", "evidence_atoms")
@@ -350,7 +348,6 @@ def _(s, d):
     return records.leak_scan(table(s, d, "documents"), "doc_id", "text", _RULES)
 
 
-@query("q213_release_audit", f"WITH {B.SEGMENTS}, {B.BLOCKS}, x AS (SELECT segment_id, block_ids, char_count, length(content) AS n FROM ls) SELECT count(*) AS segments, count(*) FILTER (WHERE char_count IS NULL) AS unknown_counts, count(*) FILTER (WHERE char_count <> n) AS wrong_counts, (SELECT count(*) FROM (SELECT unnest(block_ids) AS b FROM x) WHERE b NOT IN (SELECT block_id FROM lb)) AS dangling_blocks FROM x")
 def _(s, d):
     x = B.segments(s, d).select("segment_id", "block_ids", "char_count", F.char_length("content").alias("n"))
     a = x.agg(F.count("*").alias("segments"), F.count_if(F.col("char_count").isNull()).alias("unknown_counts"), F.count_if(F.col("char_count") != F.col("n")).alias("wrong_counts"))
@@ -358,7 +355,6 @@ def _(s, d):
     return a.join(F.broadcast(lost))  # one row each
 
 
-@query("q215_readiness_audit", "SELECT (SELECT count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) AS uncovered, (SELECT count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)) AS orphans, (SELECT count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)) AS dangling")
 def _(s, d):
     o, li, c = table(s, d, "orders"), table(s, d, "lineitem"), table(s, d, "customer")
     n = lambda df, name: df.agg(F.count("*").alias(name))

@@ -54,7 +54,6 @@ def _(s, d):
     return t.select("title", "documents", F.when(F.char_length("title") < 4, "short").when(F.col("title").rlike("^[0-9]{4}"), "temporal").when(F.col("documents") > 1, "shared").otherwise("unique").alias("information"))
 
 
-@query("q052_best_pair", f"WITH {_EDGES} SELECT kind, left_ref, right_ref, round(score, 6) AS score FROM ed JOIN rf ON rf.ref_id = left_ref QUALIFY row_number() OVER (PARTITION BY kind ORDER BY round(score, 9) DESC, left_ref DESC, right_ref DESC) = 1")
 def _(s, d):
     r = refs(s, d)
     e = resolve.candidate_edges(r).join(r.select(F.col("ref_id").alias("left_ref"), "kind"), "left_ref")
@@ -198,7 +197,6 @@ def _(s, d):
     return x.select("question_id", F.round("fact_recall", 6).alias("fact_recall"), F.round("fact_precision", 6).alias("fact_precision"), "critical_ok", "correct")
 
 
-@query("q197_link_degrees", f"WITH {B.CONCEPTS}, e AS (SELECT DISTINCT filename, unnest(regexp_extract_all(body, '\\[\\[(blk-[0-9a-f]+)\\]\\]', 1)) AS target FROM lc) SELECT target, count(*) AS in_degree, min(filename) AS first_source FROM e GROUP BY 1")
 def _(s, d):
     e = B.concepts(s, d).select("filename", F.explode(F.regexp_extract_all("body", F.lit(r"\[\[(blk-[0-9a-f]+)\]\]"), 1)).alias("target")).distinct()
     return e.groupBy("target").agg(F.count("*").alias("in_degree"), F.min("filename").alias("first_source"))

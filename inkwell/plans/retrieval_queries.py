@@ -203,9 +203,6 @@ def _(s, d):
     return r.select("n", *[R9(c).alias(c) for c in ("mean", "low", "high")])
 
 
-@query("q095_concept_search", f"""WITH {B.CONCEPTS}, qq AS (SELECT filename AS question_id, list_distinct({B.TOKENS.format("title")}) AS q FROM lc WHERE title IS NOT NULL), ft AS (SELECT filename, title, 8 AS w, unnest(list_distinct({B.TOKENS.format("title")})) AS term FROM lc UNION ALL SELECT filename, title, 2, unnest(list_distinct({B.TOKENS.format("concept_type")})) FROM lc UNION ALL SELECT filename, title, 1, unnest({B.TOKENS.format("body")}) FROM lc),
- tp AS (SELECT filename, title, term, sum(w) AS points FROM ft GROUP BY 1, 2, 3), hit AS (SELECT question_id, filename, title, CAST(sum(points) AS DOUBLE) AS score, count(*) AS have, any_value(want) AS want FROM tp JOIN (SELECT question_id, len(q) AS want, unnest(q) AS term FROM qq) USING (term) GROUP BY 1, 2, 3)
- SELECT question_id, filename, score, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, title, filename) AS rank FROM hit WHERE have = want QUALIFY rank <= 10""")
 def _(s, d):
     r = retrieval.search_concepts(B.concepts(s, d), B.questions(s, d))
     return r.select("question_id", "filename", "score", F.col("rank").cast("long"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='inkwell-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -43,8 +44,3 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the shared folder, so a lost executor loses nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for a table that later stages read."""
-    return f"{shared_dir(spark).rstrip('/')}/inkwell-{name}-{uuid.uuid4().hex}"

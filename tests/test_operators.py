@@ -5,6 +5,8 @@ import math
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from inkwell.functions import text as X
@@ -90,6 +92,55 @@ def test_clusters(spark):
     assert run([("a", "b", "same"), ("a", "c", "same"), ("b", "c", "separate")]) == [("a", "a"), ("b", "a"), ("c", "c")]
 
 
+def naive_clusters(edges):
+    """Straight from the rule: edges (left, right, decision, kinds) in order; clusters as sets searched anew each time."""
+    nodes = sorted({x for e in edges for x in e[:2]})
+    kind = {}
+    for a, b, _, ka, kb in edges:
+        kind.setdefault(a, ka), kind.setdefault(b, kb)
+    groups = [{x} for x in nodes]
+    merge = {frozenset(e[:2]) for e in edges if e[2] in ("same", "complementary")}
+    apart = {frozenset(e[:2]) for e in edges if e[2] == "separate"}
+    for a, b, decision, _, _ in edges:
+        left, right = (next(g for g in groups if x in g) for x in (a, b))
+        if decision not in ("same", "complementary") or left is right:
+            continue
+        smallest = min(left | right)
+        other_end = b if smallest in left else a
+        if frozenset((smallest, other_end)) not in merge:
+            continue
+        if any(frozenset((x, y)) in apart or kind[x] != kind[y] for x in left for y in right):
+            continue
+        groups = [g for g in groups if g is not left and g is not right] + [left | right]
+    return {x: min(g) for g in groups for x in g}
+
+
+def test_the_edges_own_end_must_be_judged_with_the_smallest_member():
+    edges = [("a", "b", "same"), ("c", "d", "same"), ("b", "c", "same"), ("c", "e", "same"), ("d", "f", "same"), ("a", "d", "same"), ("e", "f", "separate"), ("b", "d", "related")]
+    full = [(f"e{k}", *e, "T", "T") for k, e in enumerate(edges)]
+    assert resolve.fold(full) == naive_clusters([e[1:] for e in full])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcdefg"), st.sampled_from("abcdefg"), st.sampled_from(["same", "same", "complementary", "related", "separate"])).filter(lambda e: e[0] != e[1]), max_size=22), st.dictionaries(st.sampled_from("abcdefg"), st.sampled_from("TTTP")))
+def test_clusters_equal_the_rule(edges, kinds):
+    full = [(f"e{k:02}", a, b, d, kinds.get(a, "T"), kinds.get(b, "T")) for k, (a, b, d) in enumerate(edges)]
+    assert resolve.fold(full) == naive_clusters([e[1:] for e in full])
+
+
+def test_clusters_over_components(spark):
+    import random
+
+    rng = random.Random(4)
+    edges = []
+    for k in range(300):
+        c = rng.randrange(30)
+        a, b = rng.sample(range(7), 2)
+        edges.append((f"e{k:03}", f"{c:02}{'abcdefg'[a]}", f"{c:02}{'abcdefg'[b]}", rng.choice(["same", "same", "complementary", "related", "separate"]), "T", "T"))
+    df = spark.createDataFrame(edges, "edge_id string, left_ref string, right_ref string, decision string, left_kind string, right_kind string").repartition(4)
+    assert dict(rows(resolve.constrained_clusters(df), "node", "cluster")) == naive_clusters([e[1:] for e in edges])
+
+
 def test_components_of_a_long_chain(spark):
     e = spark.createDataFrame([(f"n{k:03}", f"n{k + 1:03}") for k in range(120) if k != 60], "left_ref string, right_ref string")
     got = dict(rows(resolve.components(e), "node", "component"))
@@ -201,7 +252,7 @@ def test_segments(spark):
 def test_text_functions(spark):
     df = spark.createDataFrame([("The 2004 plan 《水利》规划, 30%", "第一章 总则", "a/b: C?", "<td>x &amp; y</td>", "Outlook ..... 12")], "t string, h string, s string, c string, toc string")
     title, page = claims.toc_line(F.col("toc"))
-    r = df.select(X.term_set(F.col("t")).alias("terms"), X.hard_anchors(F.col("t")).alias("anchors"), X.heading_style(F.col("h")).alias("style"), X.slug(F.col("s")).alias("slug"), X.strip_tags(F.col("c")).alias("cell"), title.alias("title"), page.alias("page"), X.year_interval(F.col("t")).alias("y"), claims.render("{t}:{n}", {"t": F.col("h"), "n": F.lit(None)}).alias("tpl"), claims.pixel_box(F.array(F.lit(-0.1), F.lit(0.5), F.lit(0.25), F.lit(2.0)), F.lit(200), F.lit(100)).alias("box")).first()
+    r = df.select(X.term_set(F.col("t")).alias("terms"), X.hard_anchors(F.col("t")).alias("anchors"), X.heading_style(F.col("h")).alias("style"), X.slug(F.col("s")).alias("slug"), X.strip_tags(F.col("c")).alias("cell"), title.alias("title"), page.alias("page"), X.year_interval(F.col("t")).alias("y"), claims.render("{t}:{n}", {"t": F.col("h"), "n": F.lit(None)}).alias("tpl"), claims.pixel_box(F.array(F.lit(0.0), F.lit(0.5), F.lit(0.25), F.lit(1.0)), F.lit(200), F.lit(100)).alias("box")).first()
     assert r.terms == ["2004", "30", "plan", "水利", "规划"] and r.anchors == ["2004", "《水利》", "30%"]
     assert (r.style, r.slug, r.cell, r.title, r.page, tuple(r.y)) == ("chapter", "a-b-c", "x & y", "Outlook", 12, (2004, 2004))
     assert r.tpl == "第一章 总则:" and r.box == [0, 50, 50, 100]
