@@ -149,6 +149,17 @@ def zero_padded(hits: DataFrame, questions: DataFrame, units: DataFrame, k: int)
     return hits.select("question_id", "unit_id", "score").unionByName(fill)
 
 
+def padded(ranked: DataFrame, questions: DataFrame, units: DataFrame, k: int) -> DataFrame:
+    """Ranked lists (question_id, unit_id, score, rank), the short ones filled as in ``zero_padded``; lists of k aren't touched."""
+    first = units.select("unit_id").distinct().orderBy("unit_id").limit(k)
+    sizes = ranked.groupBy("question_id").agg(F.max("rank").alias("n"))
+    short = questions.select("question_id").distinct().join(sizes, "question_id", "left").select("question_id", F.coalesce("n", F.lit(0)).alias("n")).where(F.col("n") < k)
+    fill = short.join(F.broadcast(first)).join(ranked.select("question_id", "unit_id"), ["question_id", "unit_id"], "left_anti")  # k rows a short list
+    place = F.col("n") + F.row_number().over(W.partitionBy("question_id").orderBy("unit_id"))
+    fill = fill.select("question_id", "unit_id", F.lit(0.0).alias("score"), place.alias("rank")).where(F.col("rank") <= k)
+    return ranked.select("question_id", "unit_id", "score", "rank").unionByName(fill)
+
+
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(question_id, unit_id, score, rank): exact cosine of every query with every other vector; 0 where a norm is 0.
 
@@ -192,8 +203,8 @@ def hashed_vectors(rows: DataFrame, key: str, text: str, size: int = 64) -> Data
     place = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(size))
     sign = F.when(F.substring(h, 9, 1) < "8", 1.0).otherwise(-1.0)
     words = rows.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("w")).select(key, place.cast("int").alias("i"), sign.alias("x"))
-    sums = [F.sum(F.when(F.col("i") == n, F.col("x")).otherwise(0.0)) for n in range(size)]
-    return words.groupBy(key).agg(F.array(*sums).alias("embedding"))
+    sums = words.groupBy(key, "i").agg(F.sum("x").alias("x")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "x"))).alias("m"))
+    return sums.select(key, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda n: F.coalesce(F.try_element_at("m", n), F.lit(0.0))).alias("embedding"))
 
 
 def dense_hits(units: DataFrame, questions: DataFrame, k: int, encode=hashed_vectors) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.functions import segment
-from inkwell.operators import claims, metrics, records, resolve, retrieval
+from inkwell.operators import claims, metrics, records, resolve, retrieval, structure
 from inkwell.plans import base as B
 from inkwell.plans.knowledge_queries import _EDGES, refs
 from inkwell.session import checkpoint, table
@@ -298,3 +298,183 @@ def _(s, d):
     f = table(s, d, "excluded_fragments").where("text is not null").select("fragment_id", "block_id", "text").dropDuplicates(["fragment_id"])
     j = f.join(B.blocks(s, d).select("block_id", "content"), "block_id").where("content is not null")
     return j.select("fragment_id", segment.common_stretch(F.col("content"), F.col("text")).alias("fragment"))
+
+
+_NUM = "([0-9]+(?:[.,][0-9]+)*)"
+_EV = "ev AS (SELECT filename, string_agg(text, chr(10)) AS t FROM (SELECT filename, unnest(list_distinct(source_blocks)) AS block_id FROM lc) JOIN atm USING (block_id) GROUP BY 1)"
+_CITED = r"\[\[(blk-[0-9a-f]+)\]\]"
+_CITE = "ct AS (SELECT filename, unnest(regexp_extract_all(body, '\\[\\[(blk-[0-9a-f]+)\\]\\]', 1)) AS block_id FROM lc), cs AS (SELECT filename, count(*) AS cited, count(a.block_id) AS valid FROM ct LEFT JOIN (SELECT DISTINCT block_id FROM evidence_atoms) a USING (block_id) GROUP BY 1)"
+
+
+def citations(s, d):
+    """(filename, cited, valid): blocks a body cites, and those of them that are evidence."""
+    c = B.concepts(s, d).select("filename", F.explode(F.regexp_extract_all("body", F.lit(_CITED), 1)).alias("block_id"))
+    known = table(s, d, "evidence_atoms").select("block_id").distinct().withColumn("hit", F.lit(1))
+    return c.join(known, "block_id", "left").groupBy("filename").agg(F.count("*").alias("cited"), F.count("hit").alias("valid"))
+
+
+@query("q182_provisional_scores", f"WITH {B.CONCEPTS}, {_CITE} SELECT filename AS question_id, (coalesce(len(source_blocks), 0) > 0) = (trim(coalesce(body, '')) <> '') AS answerability_ok, CASE WHEN cited > 0 THEN round(valid / cited, 6) WHEN coalesce(len(source_blocks), 0) > 0 THEN 0.0 ELSE 1.0 END AS citation_validity, CAST(NULL AS DOUBLE) AS fact_recall, CAST(NULL AS BOOLEAN) AS correct FROM lc LEFT JOIN cs USING (filename)")
+def _(s, d):
+    """Only what needs no reading is scored: answerability and citations; semantic fields are null until they are aligned."""
+    j = B.concepts(s, d).select("filename", F.coalesce(F.size("source_blocks") > 0, F.lit(False)).alias("answerable"), (F.trim(F.coalesce("body", F.lit(""))) != "").alias("answered")).join(citations(s, d), "filename", "left")
+    validity = F.when(F.col("cited") > 0, F.round(F.col("valid") / F.col("cited"), 6)).when(F.col("answerable"), 0.0).otherwise(1.0)
+    return j.select(F.col("filename").alias("question_id"), (F.col("answerable") == F.col("answered")).alias("answerability_ok"), validity.alias("citation_validity"), F.lit(None).cast("double").alias("fact_recall"), F.lit(None).cast("boolean").alias("correct"))
+
+
+@query("q187_answer_contract", f"WITH {B.CONCEPTS}, {_CITE} SELECT filename, CASE WHEN trim(coalesce(body, '')) = '' AND coalesce(len(source_blocks), 0) > 0 THEN 'refusal_with_evidence' WHEN trim(coalesce(body, '')) <> '' AND coalesce(cited, 0) = 0 THEN 'answer_without_citation' WHEN cited > valid THEN 'unknown_citation' ELSE 'ok' END AS verdict FROM lc LEFT JOIN cs USING (filename)")
+def _(s, d):
+    j = B.concepts(s, d).select("filename", F.coalesce(F.size("source_blocks") > 0, F.lit(False)).alias("evidence"), (F.trim(F.coalesce("body", F.lit(""))) == "").alias("refused")).join(citations(s, d), "filename", "left")
+    v = F.when(F.col("refused") & F.col("evidence"), "refusal_with_evidence").when(~F.col("refused") & (F.coalesce("cited", F.lit(0)) == 0), "answer_without_citation").when(F.col("cited") > F.col("valid"), "unknown_citation").otherwise("ok")
+    return j.select("filename", v.alias("verdict"))
+
+
+@query("q209_claim_contract", f"""WITH {B.ATOMS}, {B.CONCEPTS}, {_EV}, cl AS (SELECT filename, trim(unnest(string_split(coalesce(body, ''), chr(10)))) AS claim FROM lc), c2 AS (SELECT * FROM cl WHERE claim <> '' AND NOT regexp_matches(claim, '^#')),
+ ch AS (SELECT filename, count(*) AS claims, count(*) FILTER (WHERE len(list_filter(regexp_extract_all(claim, '{_NUM}', 1), lambda n: NOT contains(coalesce(ev.t, ''), n))) > 0) AS unanchored FROM c2 LEFT JOIN ev USING (filename) GROUP BY 1)
+ SELECT lc.filename, coalesce(claims, 0) AS claims, coalesce(unanchored, 0) AS unanchored, coalesce(claims, 0) > 8 AS too_many, coalesce(len(source_blocks), 0) <> coalesce(len(list_distinct(source_blocks)), 0) AS repeated_unit, CASE WHEN ev.t IS NULL THEN 'no_evidence' WHEN coalesce(claims, 0) > 8 OR coalesce(len(source_blocks), 0) <> coalesce(len(list_distinct(source_blocks)), 0) THEN 'broken' WHEN unanchored > 0 THEN 'unanchored' ELSE 'ok' END AS verdict FROM lc LEFT JOIN ch USING (filename) LEFT JOIN ev USING (filename)""")
+def _(s, d):
+    """Per bundle of claims (the lines of a body): eight at most, each unit once, every number of a claim in the evidence."""
+    c = B.concepts(s, d)
+    ev = c.select("filename", F.explode(F.array_distinct("source_blocks")).alias("block_id")).join(B.atoms(s, d).select("block_id", "text"), "block_id").groupBy("filename").agg(F.array_join(F.collect_list("text"), "\n").alias("t"))
+    lines = F.filter(F.transform(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("#"))
+    j = c.select("filename", lines.alias("claims"), F.coalesce(F.size("source_blocks"), F.lit(0)).alias("units"), F.coalesce(F.size(F.array_distinct("source_blocks")), F.lit(0)).alias("distinct_units")).join(ev, "filename", "left")
+    loose = F.filter("claims", lambda x: F.exists(F.regexp_extract_all(x, F.lit(_NUM), 1), lambda n: ~F.coalesce(F.col("t"), F.lit("")).contains(n)))
+    r = j.select("filename", F.size("claims").cast("long").alias("claims"), F.size(loose).cast("long").alias("unanchored"), (F.col("units") != F.col("distinct_units")).alias("repeated_unit"), F.col("t").isNull().alias("bare"))
+    verdict = F.when(F.col("bare"), "no_evidence").when((F.col("claims") > 8) | F.col("repeated_unit"), "broken").when(F.col("unanchored") > 0, "unanchored").otherwise("ok")
+    return r.select("filename", "claims", "unanchored", (F.col("claims") > 8).alias("too_many"), "repeated_unit", verdict.alias("verdict"))
+
+
+@query("q210_claim_coverage", f"WITH {B.ATOMS}, {B.CONCEPTS}, u AS (SELECT DISTINCT filename, body, unnest(source_blocks) AS block_id FROM lc), n AS (SELECT filename, u.block_id, body, list_distinct(regexp_extract_all(text, '{_NUM}', 1)) AS nums FROM u JOIN atm USING (block_id)) SELECT filename, block_id, CAST(len(nums) AS BIGINT) AS anchors, CAST(len(list_filter(nums, lambda x: contains(coalesce(body, ''), x))) AS BIGINT) AS covered, CASE WHEN len(nums) = 0 THEN 'no_anchor' WHEN len(list_filter(nums, lambda x: contains(coalesce(body, ''), x))) = len(nums) THEN 'supported' WHEN len(list_filter(nums, lambda x: contains(coalesce(body, ''), x))) > 0 THEN 'partial' ELSE 'uncovered' END AS status FROM n")
+def _(s, d):
+    """Each evidence unit of a concept exactly once: how many of its numbers the text takes up."""
+    u = B.concepts(s, d).select("filename", "body", F.explode(F.array_distinct("source_blocks")).alias("block_id")).join(B.atoms(s, d).select("block_id", "text"), "block_id")
+    nums = F.array_distinct(F.regexp_extract_all("text", F.lit(_NUM), 1))
+    n = u.select("filename", "block_id", nums.alias("nums"), F.coalesce("body", F.lit("")).alias("body"))
+    n = n.select("filename", "block_id", F.size("nums").cast("long").alias("anchors"), F.size(F.filter("nums", lambda x: F.col("body").contains(x))).cast("long").alias("covered"))
+    return n.withColumn("status", F.when(F.col("anchors") == 0, "no_anchor").when(F.col("covered") == F.col("anchors"), "supported").when(F.col("covered") > 0, "partial").otherwise("uncovered"))
+
+
+@query("q212_materialization_gates", f"""WITH {B.ATOMS}, {B.CONCEPTS}, r AS (SELECT filename, unnest(source_blocks) AS block_id FROM lc) SELECT 'title' AS gate, count(*) FILTER (WHERE trim(coalesce(title, '')) = '') AS failed, count(*) AS checked FROM lc
+ UNION ALL SELECT 'body', count(*) FILTER (WHERE trim(coalesce(body, '')) = ''), count(*) FROM lc UNION ALL SELECT 'type', count(*) FILTER (WHERE coalesce(concept_type, '') NOT IN ('topic', 'entity', 'proposition', 'method')), count(*) FROM lc
+ UNION ALL SELECT 'evidence', count(*) FILTER (WHERE coalesce(len(source_blocks), 0) = 0), count(*) FROM lc UNION ALL SELECT 'refs_are_atoms', count(*) FILTER (WHERE block_id NOT IN (SELECT block_id FROM atm)), count(*) FROM r
+ UNION ALL SELECT 'frontmatter_title', count(*) FILTER (WHERE frontmatter IS NOT NULL AND json_extract_string(frontmatter, '$.title') IS DISTINCT FROM title), count(*) FROM lc""")
+def _(s, d):
+    """What a concept must have before it becomes a unit: one row a gate."""
+    c = B.concepts(s, d)
+    blank = lambda x: F.trim(F.coalesce(x, F.lit(""))) == ""
+    gates = {"title": blank("title"), "body": blank("body"), "type": ~F.coalesce("concept_type", F.lit("")).isin("topic", "entity", "proposition", "method"), "evidence": F.coalesce(F.size("source_blocks"), F.lit(0)) <= 0,
+             "frontmatter_title": F.col("frontmatter").isNotNull() & ~F.get_json_object("frontmatter", "$.title").eqNullSafe(F.col("title"))}
+    failed = c.agg(F.count("*").alias("checked"), *[F.count_if(g).alias(n) for n, g in gates.items()])
+    rows = failed.select(F.explode(F.array(*[F.struct(F.lit(n).alias("gate"), F.col(n).alias("failed"), F.col("checked").alias("checked")) for n in gates])).alias("x")).select("x.*")
+    r = c.select(F.explode("source_blocks").alias("block_id")).join(B.atoms(s, d).select("block_id", F.lit(1).alias("hit")), "block_id", "left")
+    return rows.unionByName(r.agg(F.lit("refs_are_atoms").alias("gate"), F.count_if(F.col("hit").isNull()).alias("failed"), F.count("*").alias("checked")))
+
+
+@query("q214_release_audit", f"WITH {_LINKS}, l AS (SELECT source AS filename, count(*) AS links, count(*) FILTER (WHERE target IN (SELECT node FROM nd)) AS known FROM li GROUP BY 1), f AS (SELECT concept_type, filename, sha256(coalesce(body, '')) AS h, coalesce(links, 0) AS links, coalesce(known, 0) AS known FROM lc LEFT JOIN l USING (filename)) SELECT concept_type, count(*) AS files, CAST(sum(links) AS BIGINT) AS links, CAST(sum(known) AS BIGINT) AS known_links, count(DISTINCT h) AS distinct_bodies, min(h) AS first_checksum FROM f GROUP BY 1")
+def _(s, d):
+    c = B.concepts(s, d)
+    marks = F.concat(F.regexp_extract_all("body", F.lit(r"\]\(([^()\s]+)\)"), 1), F.regexp_extract_all("body", F.lit(r"\[\[([^\[\]|\s]+)(?:\|[^\[\]]*)?\]\]"), 1))
+    links = c.select("filename", F.explode(marks).alias("m")).where("m <> ''").select("filename", F.regexp_replace("m", r"^.*/", "").alias("target")).distinct().groupBy("filename").agg(F.count("*").alias("links"))
+    known = link_edges(s, d).groupBy(F.col("source").alias("filename")).agg(F.count("*").alias("known"))
+    f = c.select("concept_type", "filename", F.sha2(F.coalesce("body", F.lit("")), 256).alias("h")).join(links, "filename", "left").join(known, "filename", "left")
+    return f.groupBy("concept_type").agg(F.count("*").alias("files"), F.coalesce(F.sum("links"), F.lit(0)).alias("links"), F.coalesce(F.sum("known"), F.lit(0)).alias("known_links"), F.count_distinct("h").alias("distinct_bodies"), F.min("h").alias("first_checksum"))
+
+
+@query("q234_placement_plan", f"WITH {B.POSITIONED}, a AS (SELECT block_id, document_id, block_type, last_value(CASE WHEN block_type = 'text' THEN block_id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM pb), p AS (SELECT a.document_id, a.block_id, a.anchor, (SELECT count(*) FROM evidence_atoms e WHERE e.block_id = a.anchor) AS cataloged FROM a WHERE block_type IN ('image', 'table')) SELECT document_id, count(*) AS assets, count(DISTINCT block_id) AS placed_once, count(*) FILTER (WHERE anchor IS NULL) AS at_top, count(*) FILTER (WHERE anchor IS NOT NULL AND cataloged = 0) AS uncataloged FROM p GROUP BY 1")
+def _(s, d):
+    """Every asset exactly once, on an anchor the catalog has: counts per document."""
+    b = structure.positioned(B.blocks(s, d))
+    a = F.last(F.when(F.col("block_type") == "text", F.col("block_id")), ignorenulls=True).over(W.partitionBy("document_id").orderBy("pos").rowsBetween(W.unboundedPreceding, -1))
+    p = b.select("document_id", "block_id", "block_type", a.alias("anchor")).where("block_type in ('image', 'table')")
+    known = table(s, d, "evidence_atoms").select(F.col("block_id").alias("anchor")).distinct().withColumn("hit", F.lit(1))
+    return p.join(known, "anchor", "left").groupBy("document_id").agg(F.count("*").alias("assets"), F.count_distinct("block_id").alias("placed_once"), F.count_if(F.col("anchor").isNull()).alias("at_top"), F.count_if(F.col("anchor").isNotNull() & F.col("hit").isNull()).alias("uncataloged"))
+
+
+@query("q235_relation_audit", f"""WITH {_SHARED}, un AS (SELECT current, phrase, min(target) AS target FROM mx GROUP BY 1, 2 HAVING count(DISTINCT target) = 1), po AS (SELECT current, phrase, target, strpos(body, phrase) AS a, length(phrase) AS n FROM un JOIN lc ON lc.filename = un.current), kq AS (SELECT *, coalesce(a > max(a + n - 1) OVER (PARTITION BY current ORDER BY a, n DESC, phrase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS free FROM po)
+ SELECT lc.filename, count(kq.phrase) AS anchors, count(kq.phrase) FILTER (WHERE free) AS links, CASE WHEN count(kq.phrase) FILTER (WHERE free) > 0 THEN 'links' ELSE 'no_links' END AS verdict FROM lc LEFT JOIN kq ON kq.current = lc.filename GROUP BY 1""")
+def _(s, d):
+    """Per concept its anchors without those that overlap an earlier one, or no_links."""
+    u = shared_phrases(s, d).groupBy("current", "phrase").agg(F.min("target").alias("target"), F.count_distinct("target").alias("k")).where("k = 1")
+    c = B.concepts(s, d).select("filename", "body")
+    p = u.join(c.withColumnRenamed("filename", "current"), "current").select("current", "phrase", F.expr("instr(body, phrase)").alias("a"), F.char_length("phrase").alias("n"))
+    before = W.partitionBy("current").orderBy("a", F.desc("n"), "phrase").rowsBetween(W.unboundedPreceding, -1)
+    p = p.withColumn("free", F.coalesce(F.col("a") > F.max(F.col("a") + F.col("n") - 1).over(before), F.lit(True)))
+    g = p.groupBy(F.col("current").alias("filename")).agg(F.count("*").alias("anchors"), F.count_if("free").alias("links"))
+    j = c.select("filename").join(g, "filename", "left").fillna(0, ["anchors", "links"])
+    return j.withColumn("verdict", F.when(F.col("links") > 0, "links").otherwise("no_links"))
+
+
+_TABLES = ("blocks", "page_results", "evidence_atoms", "article_segments", "concept_documents", "document_ir")
+_KEYS = {"blocks": "block_id", "page_results": "record_id", "evidence_atoms": "atom_id", "article_segments": "segment_id", "concept_documents": "filename", "document_ir": "document_id"}
+
+
+@query("q238_readiness_report", " UNION ALL ".join(f"SELECT '{t}' AS input, count(*) AS rows, count(DISTINCT {_KEYS[t]}) AS keys, count(*) FILTER (WHERE {_KEYS[t]} IS NULL) AS null_keys, CASE WHEN count(*) = 0 THEN 'missing' WHEN count(*) FILTER (WHERE {_KEYS[t]} IS NULL) > 0 THEN 'broken' WHEN count(*) > count(DISTINCT {_KEYS[t]}) THEN 'repeated' ELSE 'ready' END AS state FROM {t}" for t in _TABLES))
+def _(s, d):
+    """Reads the inputs and writes nothing: rows, keys and whether each table can be used."""
+    out = None
+    for t in _TABLES:
+        k = F.col(_KEYS[t])
+        r = table(s, d, t).agg(F.lit(t).alias("input"), F.count("*").alias("rows"), F.count_distinct(k).alias("keys"), F.count_if(k.isNull()).alias("null_keys"))
+        out = r if out is None else out.unionByName(r)
+    return out.withColumn("state", F.when(F.col("rows") == 0, "missing").when(F.col("null_keys") > 0, "broken").when(F.col("rows") > F.col("keys"), "repeated").otherwise("ready"))
+
+
+_RUNS = f"{B.BLOCKS}, h AS (SELECT source_file, document_id, substr(sha256(document_id), 1, 1) AS x, sha256(string_agg(block_id, ',' ORDER BY block_id)) AS shape, sha256(string_agg(block_id || ':' || sha256(coalesce(content, '')), ',' ORDER BY block_id)) AS body FROM lb GROUP BY 1, 2), st AS (SELECT document_id, shape || CASE WHEN x < '3' THEN 'x' ELSE '' END AS shape, body || CASE WHEN x < '6' THEN 'x' ELSE '' END AS body FROM h WHERE x < 'e')"
+
+
+def runs(s, d):
+    """A document's fingerprints now, and those of a baseline run in which some documents had another shape or other texts, and
+    some were absent."""
+    g = B.blocks(s, d).groupBy("source_file", "document_id").agg(F.array_sort(F.collect_list(F.struct("block_id", F.sha2(F.coalesce("content", F.lit("")), 256).alias("c")))).alias("b"))
+    join = lambda f: F.sha2(F.array_join(F.transform("b", f), ","), 256)
+    now = g.select("source_file", "document_id", F.substring(F.sha2("document_id", 256), 1, 1).alias("x"), join(lambda b: b["block_id"]).alias("shape"), join(lambda b: F.concat(b["block_id"], F.lit(":"), b["c"])).alias("body"))
+    other = lambda c, upto: F.concat(c, F.when(F.col("x") < upto, "x").otherwise(""))
+    return now, now.where("x < 'e'").select("document_id", other("shape", "3").alias("old_shape"), other("body", "6").alias("old_body"))
+
+
+@query("q202_update_seed", f"WITH {_RUNS} SELECT h.document_id, h.body AS fingerprint FROM h JOIN st ON st.document_id = h.document_id AND st.shape = h.shape AND st.body = h.body")
+def _(s, d):
+    """What a new run copies from its baseline: documents whose shape and texts are unchanged."""
+    now, old = runs(s, d)
+    return now.join(old, "document_id").where("shape = old_shape and body = old_body").select("document_id", F.col("body").alias("fingerprint"))
+
+
+@query("q204_incremental_plan", f"WITH {_RUNS} SELECT source_file, CASE WHEN st.document_id IS NULL THEN 'discover_new' WHEN st.shape <> h.shape THEN 'discover' WHEN st.body <> h.body THEN 'concepts' ELSE 'reuse' END AS stage, count(*) AS documents FROM h LEFT JOIN st USING (document_id) GROUP BY 1, 2")
+def _(s, d):
+    """The first stage each document must run again: discovery if its blocks changed, concepts if only texts did."""
+    now, old = runs(s, d)
+    stage = F.when(F.col("old_shape").isNull(), "discover_new").when(F.col("old_shape") != F.col("shape"), "discover").when(F.col("old_body") != F.col("body"), "concepts").otherwise("reuse")
+    return now.join(old, "document_id", "left").groupBy("source_file", stage.alias("stage")).agg(F.count("*").alias("documents"))
+
+
+@query("q189_ref_states", f"WITH {_EDGES} SELECT ref_id, CASE WHEN EXISTS (SELECT 1 FROM ed WHERE left_ref = ref_id OR right_ref = ref_id) THEN 'candidates' ELSE 'no_candidate' END AS state FROM rf")
+def _(s, d):
+    r = refs(s, d)
+    e = resolve.candidate_edges(r)
+    with_any = e.select(F.col("left_ref").alias("ref_id")).unionByName(e.select(F.col("right_ref").alias("ref_id"))).distinct().withColumn("hit", F.lit(1))
+    return r.select("ref_id").join(with_any, "ref_id", "left").select("ref_id", F.when(F.col("hit") == 1, "candidates").otherwise("no_candidate").alias("state"))
+
+
+@query("q183_joint_success", f"WITH {B.CONCEPTS}, {_CITE}, rf AS (SELECT filename, count(*) AS refs, count(a.block_id) AS held, count(c.block_id) AS cited FROM (SELECT filename, unnest(list_distinct(source_blocks)) AS block_id FROM lc) r LEFT JOIN (SELECT DISTINCT block_id FROM evidence_atoms) a USING (block_id) LEFT JOIN (SELECT DISTINCT filename, block_id FROM ct) c USING (filename, block_id) GROUP BY 1) SELECT filename AS question_id, CASE WHEN trim(coalesce(body, '')) <> '' THEN coalesce(refs = held, false) AND coalesce(refs = rf.cited, false) AND coalesce(valid::DOUBLE / nullif(cs.cited, 0), 0) = 1 END AS success FROM lc LEFT JOIN rf USING (filename) LEFT JOIN cs USING (filename)")
+def _(s, d):
+    """Retrieved whole, cited whole and validly; null where there is no answer to judge. A given answer stands for a correct one."""
+    c = B.concepts(s, d)
+    known = table(s, d, "evidence_atoms").select("block_id").distinct().withColumn("hit", F.lit(1))
+    marks = c.select("filename", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(_CITED), 1))).alias("block_id")).withColumn("cite", F.lit(1))
+    rf = c.select("filename", F.explode(F.array_distinct("source_blocks")).alias("block_id")).join(known, "block_id", "left").join(marks, ["filename", "block_id"], "left").groupBy("filename").agg(F.count("*").alias("refs"), F.count("hit").alias("held"), F.count("cite").alias("n"))
+    answers = c.select(F.col("filename").alias("question_id"), F.when(F.trim(F.coalesce("body", F.lit(""))) != "", F.lit(True)).alias("correct"))
+    retrieved = rf.select(F.col("filename").alias("question_id"), (F.col("refs") == F.col("held")).cast("int").alias("complete"))
+    cited = rf.join(citations(s, d), "filename", "left").select(F.col("filename").alias("question_id"), (F.col("valid") / F.col("cited")).alias("validity"), (F.col("refs") == F.col("n")).alias("complete"))
+    return claims.joint_success(answers, retrieved, cited)
+
+
+@query("q156_rendered_labels", f"WITH {B.CONCEPTS} SELECT filename, 'Concept ' || coalesce(title, '') || ' (' || coalesce(concept_type, '') || ', ' || coalesce(CAST(len(source_blocks) AS VARCHAR), '') || ' sources)' AS label FROM lc")
+def _(s, d):
+    values = {"title": F.col("title"), "kind": F.col("concept_type"), "n": F.size("source_blocks")}
+    return B.concepts(s, d).select("filename", claims.render("Concept {title} ({kind}, {n} sources)", values).alias("label"))
+
+
+@query("q112_dictionary_tokens")
+def _(s, d):
+    """Tokens of concept titles over a dictionary frozen from the places and bodies of the corpus' commonest headings."""
+    words = [r[0] for r in B.blocks(s, d).where("block_type = 'title'").select(F.explode(F.regexp_extract_all("content", F.lit(r"([\x{3400}-\x{9fff}]{2,4})"), 1)).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(5_000).select("w").collect()]
+    return B.concepts(s, d).where("title is not null").select("filename", F.array_join(segment.dictionary_tokens(words)(F.col("title")), "|").alias("tokens"))

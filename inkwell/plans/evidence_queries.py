@@ -22,11 +22,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _(s, d):
-    t = retrieval.tokens(F.col("body"))
-    return B.concepts(s, d).where(F.lower("concept_type") == "topic").where(F.array_contains(t, "the") & F.array_contains(t, "of")).select("filename")
-
-
 @query("q041_related_edges", f"WITH {_EDGES} SELECT least(a.article_id, b.article_id) AS article_a, greatest(a.article_id, b.article_id) AS article_b, count(*) AS relations, round(max(score), 6) AS strongest FROM ed JOIN rf a ON a.ref_id = left_ref JOIN rf b ON b.ref_id = right_ref WHERE score < 0.5 GROUP BY 1, 2")
 def _(s, d):
     r = refs(s, d).select("ref_id", "article_id")

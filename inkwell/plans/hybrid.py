@@ -32,7 +32,7 @@ class Config:
 
 def _bm25(questions: DataFrame, u: DataFrame, k: int) -> DataFrame:
     best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(u, questions, k), k))
-    return retrieval.top_k(retrieval.zero_padded(best, questions, u, k), k)
+    return retrieval.padded(best, questions, u, k)
 
 
 def _dense(questions: DataFrame, u: DataFrame, k: int) -> DataFrame:

@@ -95,16 +95,6 @@ def _(s, d):
     return j.select(F.col("a.segment_id").alias("left_id"), F.col("b.segment_id").alias("right_id"), (F.least("a.page_end", "b.page_end") - F.greatest("a.page_start", "b.page_start") + 1).alias("shared_pages"))
 
 
-def _(s, d):
-    x = records.anti(B.documents_ir(s, d), table(s, d, "page_results").select("document_id"), "document_id")
-    return records.anti(x, table(s, d, "blocks").select("document_id"), "document_id").select("document_id", "parser")
-
-
-def _(s, d):
-    e = B.blocks(s, d).where("evidence_eligible").where(F.trim(F.coalesce("content", F.lit("")), F.lit(" \t\n\r")) != "")
-    return records.two_way_audit(e, table(s, d, "evidence_atoms"), "block_id", "blocks", "evidence_atoms")
-
-
 @query("q061_elapsed_by_model", f"WITH {B.PAGES} SELECT model, count(v) AS n, sum(v) AS total, round(avg(v), 3) AS mean, quantile_cont(v, 0.5) AS p50, round(quantile_cont(v, 0.95), 3) AS p95, min(v) AS least, max(v) AS most FROM (SELECT model, elapsed_ms::DOUBLE AS v FROM lp) GROUP BY 1")
 def _(s, d):
     x = records.distribution(B.pages(s, d), ["model"], "elapsed_ms")
@@ -348,22 +338,6 @@ def _(s, d):
     return records.leak_scan(table(s, d, "documents"), "doc_id", "text", _RULES)
 
 
-def _(s, d):
-    x = B.segments(s, d).select("segment_id", "block_ids", "char_count", F.char_length("content").alias("n"))
-    a = x.agg(F.count("*").alias("segments"), F.count_if(F.col("char_count").isNull()).alias("unknown_counts"), F.count_if(F.col("char_count") != F.col("n")).alias("wrong_counts"))
-    lost = records.anti(x.select(F.explode("block_ids").alias("block_id")), B.blocks(s, d).select("block_id"), "block_id").agg(F.count("*").alias("dangling_blocks"))
-    return a.join(F.broadcast(lost))  # one row each
-
-
-def _(s, d):
-    o, li, c = table(s, d, "orders"), table(s, d, "lineitem"), table(s, d, "customer")
-    n = lambda df, name: df.agg(F.count("*").alias(name))
-    a = n(records.anti(o, li.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey"), "uncovered")
-    b = n(records.anti(li, o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"), "orphans")
-    e = n(records.anti(o, c.select(F.col("c_custkey").alias("o_custkey")), "o_custkey"), "dangling")
-    return a.join(F.broadcast(b)).join(F.broadcast(e))  # one row each
-
-
 @query("x1_rollup", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY ROLLUP (event_type, CAST(ts AS DATE))")
 def _(s, d):
     return table(s, d, "events").withColumn("day", F.to_date("ts")).rollup("event_type", "day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))

@@ -54,13 +54,6 @@ def _(s, d):
     return t.select("title", "documents", F.when(F.char_length("title") < 4, "short").when(F.col("title").rlike("^[0-9]{4}"), "temporal").when(F.col("documents") > 1, "shared").otherwise("unique").alias("information"))
 
 
-def _(s, d):
-    r = refs(s, d)
-    e = resolve.candidate_edges(r).join(r.select(F.col("ref_id").alias("left_ref"), "kind"), "left_ref")
-    w = W.partitionBy("kind").orderBy(F.desc(F.round("score", 9)), F.desc("left_ref"), F.desc("right_ref"))
-    return e.withColumn("k", F.row_number().over(w)).where("k = 1").select("kind", "left_ref", "right_ref", F.round("score", 6).alias("score"))
-
-
 @query("q058_page_citations", f"WITH {B.ATOMS}, {B.CONCEPTS}, r AS (SELECT DISTINCT filename, article_id, page FROM (SELECT filename, unnest(source_blocks) AS block_id FROM lc) JOIN atm USING (block_id)) SELECT filename, r.article_id, r.page, count(*) AS atoms, count(*) FILTER (WHERE block_type = 'text') AS text_atoms FROM r JOIN atm ON atm.article_id = r.article_id AND atm.page = r.page GROUP BY 1, 2, 3")
 def _(s, d):
     a = B.atoms(s, d).select("article_id", "page", "block_id", "block_type")
@@ -197,11 +190,6 @@ def _(s, d):
     return x.select("question_id", F.round("fact_recall", 6).alias("fact_recall"), F.round("fact_precision", 6).alias("fact_precision"), "critical_ok", "correct")
 
 
-def _(s, d):
-    e = B.concepts(s, d).select("filename", F.explode(F.regexp_extract_all("body", F.lit(r"\[\[(blk-[0-9a-f]+)\]\]"), 1)).alias("target")).distinct()
-    return e.groupBy("target").agg(F.count("*").alias("in_degree"), F.min("filename").alias("first_source"))
-
-
 @query("q201_update_audit", f"WITH {B.BLOCKS}, h AS (SELECT source_file, document_id, sha256(string_agg(block_id, ',' ORDER BY block_id)) AS now, sha256(string_agg(block_id, ',' ORDER BY block_id) || CASE WHEN substr(sha256(document_id), 1, 1) < '4' THEN 'x' ELSE '' END) AS before FROM lb GROUP BY 1, 2) SELECT source_file, count(*) AS documents, count(*) FILTER (WHERE now = before) AS reused, round(count(*) FILTER (WHERE now = before) / count(*), 6) AS reuse_rate FROM h GROUP BY 1")
 def _(s, d):
     g = B.blocks(s, d).groupBy("source_file", "document_id").agg(F.array_join(F.array_sort(F.collect_list("block_id")), ",").alias("b"))

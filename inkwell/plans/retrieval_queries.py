@@ -31,7 +31,7 @@ def bm25_hits(s, d, u: DataFrame, k: int = 50) -> DataFrame:
     """``u`` should be checkpointed: it is read for the frequencies, the blocks and the padding."""
     q = checkpoint(B.questions(s, d))
     best = checkpoint(retrieval.top_k(retrieval.bm25_top_k(u, q, k), k))
-    return retrieval.top_k(retrieval.zero_padded(best, q, u, k), k)
+    return retrieval.padded(best, q, u, k)
 
 
 def units_of(s, d) -> DataFrame:
@@ -203,11 +203,6 @@ def _(s, d):
     return r.select("n", *[R9(c).alias(c) for c in ("mean", "low", "high")])
 
 
-def _(s, d):
-    r = retrieval.search_concepts(B.concepts(s, d), B.questions(s, d))
-    return r.select("question_id", "filename", "score", F.col("rank").cast("long"))
-
-
 @query("q154_unit_tokens", f"WITH RECURSIVE {B.T0} SELECT unit_id, greatest(length(retrieval_text), 1) AS code_points, len({B.TOKENS.format('retrieval_text')}) AS words FROM t0")
 def _(s, d):
     u = t0(s, d)
