@@ -37,9 +37,12 @@ def _(s, d):
     return j.agg(F.count("*").alias("trace_rows"), F.count("hit").alias("known"), F.count_if(F.col("hit").isNull()).alias("unknown"))
 
 
-@query("q064_log_fields", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, count(props) AS with_props, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1")
+@query("q064_log_fields", "WITH p AS (SELECT event_type, user_id, ts, CAST(nullif(regexp_extract(props, '\"k\": *([0-9]+)', 1), '') AS BIGINT) AS k FROM events) SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, count(k) AS parsed, CAST(sum(k) AS BIGINT) AS total, round(avg(k), 4) AS mean, max(k) AS most, min(ts) AS first_ts, max(ts) AS last_ts FROM p GROUP BY 1")
 def _(s, d):
-    return table(s, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.count("props").alias("with_props"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    """A field parsed out of each log line, summed by event type; lines without it count as unparsed."""
+    k = F.nullif(F.regexp_extract("props", r'"k": *([0-9]+)', 1), F.lit("")).cast("long")
+    e = table(s, d, "events").withColumn("k", k)
+    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.count("k").alias("parsed"), F.sum("k").alias("total"), F.round(F.avg("k"), 4).alias("mean"), F.max("k").alias("most"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
 @query("q100_candidate_sections", f"WITH {B.CONCEPTS}, {B.BLOCKS}, {B.SEGMENTS}, ct AS (SELECT filename, unnest(list_distinct({B.TOKENS.format('title')})) AS t FROM lc WHERE title IS NOT NULL), cd AS (SELECT DISTINCT filename, document_id FROM (SELECT filename, unnest(source_blocks) AS block_id FROM lc) JOIN lb USING (block_id)), st AS (SELECT document_id, segment_id, unnest(list_distinct({B.TOKENS.format('content')})) AS t FROM ls), sc AS (SELECT filename, segment_id, count(*) AS overlap FROM ct JOIN cd USING (filename) JOIN st USING (document_id, t) GROUP BY 1, 2) SELECT filename, segment_id, overlap, row_number() OVER (PARTITION BY filename ORDER BY overlap DESC, segment_id) AS rank FROM sc QUALIFY rank <= 4")
@@ -80,21 +83,35 @@ def _(s, d):
     return h.withColumn("b", before).select("block_id", F.coalesce("declared", "b", F.lit(1)).alias("level"), F.when(F.col("declared").isNotNull(), "declared").when(F.col("b").isNotNull(), "previous").otherwise("default").alias("level_source"))
 
 
-@query("q135_asset_anchors", f"WITH {B.POSITIONED}, a AS (SELECT block_id, block_type, last_value(CASE WHEN block_type = 'text' THEN block_id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM pb) SELECT block_id AS asset_id, anchor, CASE WHEN anchor IS NULL THEN 'top' ELSE 'after' END AS place FROM a WHERE block_type IN ('image', 'table')")
-def _(s, d):
-    b = structure.positioned(B.blocks(s, d))
-    a = F.last(F.when(F.col("block_type") == "text", F.col("block_id")), ignorenulls=True).over(W.partitionBy("document_id").orderBy("pos").rowsBetween(W.unboundedPreceding, -1))
-    return b.select("block_id", "block_type", a.alias("anchor")).where("block_type in ('image', 'table')").select(F.col("block_id").alias("asset_id"), "anchor", F.when(F.col("anchor").isNull(), "top").otherwise("after").alias("place"))
-
-
-@query("q137_asset_routes", f"WITH {B.CONCEPTS}, {B.BLOCKS}, r AS (SELECT block_id, count(DISTINCT filename) AS k, min(filename) AS f FROM (SELECT filename, unnest(source_blocks) AS block_id FROM lc) GROUP BY 1), dr AS (SELECT document_id, count(DISTINCT filename) AS k, min(filename) AS f FROM (SELECT filename, unnest(source_blocks) AS block_id FROM lc) JOIN lb USING (block_id) GROUP BY 1) SELECT lb.block_id AS asset_id, CASE WHEN r.k = 1 THEN r.f WHEN r.k IS NULL AND dr.k = 1 THEN dr.f END AS concept, CASE WHEN r.k = 1 THEN 'hint' WHEN r.k > 1 THEN 'ambiguous' WHEN dr.k = 1 THEN 'single_group' ELSE 'unresolved' END AS route FROM lb LEFT JOIN r USING (block_id) LEFT JOIN dr USING (document_id) WHERE block_type IN ('image', 'table')")
-def _(s, d):
-    b = B.blocks(s, d).select("block_id", "document_id", "block_type")
-    e = B.concepts(s, d).select("filename", F.explode("source_blocks").alias("block_id"))
-    r = e.groupBy("block_id").agg(F.count_distinct("filename").alias("k"), F.min("filename").alias("f"))
-    dr = e.join(b, "block_id").groupBy("document_id").agg(F.count_distinct("filename").alias("dk"), F.min("filename").alias("df"))
-    j = b.where("block_type in ('image', 'table')").join(r, "block_id", "left").join(dr, "document_id", "left")
-    return j.select(F.col("block_id").alias("asset_id"), F.when(F.col("k") == 1, F.col("f")).when(F.col("k").isNull() & (F.col("dk") == 1), F.col("df")).alias("concept"), F.when(F.col("k") == 1, "hint").when(F.col("k") > 1, "ambiguous").when(F.col("dk") == 1, "single_group").otherwise("unresolved").alias("route"))
+@query("q135_asset_anchors", f"WITH {B.POSITIONED}, un AS (SELECT *, count(*) OVER (PARTITION BY document_id, trim(content)) AS same FROM pb), a AS (SELECT block_id, block_type, last_value(CASE WHEN block_type = 'text' AND same = 1 AND trim(content) <> '' THEN block_id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, first_value(CASE WHEN block_type = 'text' AND same = 1 AND trim(content) <> '' THEN block_id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM un) SELECT block_id AS asset_id, coalesce(before, next) AS anchor, CASE WHEN before IS NOT NULL THEN 'after' WHEN next IS NOT NULL THEN 'before' ELSE 'unplaced' END AS place FROM a WHERE block_type IN ('image', 'table')")
+def _(s, d):
+    """Each asset goes behind the last text before it whose words are unique in the document, else before the next such text."""
+    b = structure.positioned(B.blocks(s, d)).withColumn("same", F.count("*").over(W.partitionBy("document_id", F.trim("content"))))
+    unique = F.when((F.col("block_type") == "text") & (F.col("same") == 1) & (F.trim("content") != ""), F.col("block_id"))
+    w = W.partitionBy("document_id").orderBy("pos")
+    a = b.select("block_id", "block_type", F.last(unique, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("before"), F.first(unique, ignorenulls=True).over(w.rowsBetween(1, W.unboundedFollowing)).alias("next"))
+    place = F.when(F.col("before").isNotNull(), "after").when(F.col("next").isNotNull(), "before").otherwise("unplaced")
+    return a.where("block_type in ('image', 'table')").select(F.col("block_id").alias("asset_id"), F.coalesce("before", "next").alias("anchor"), place.alias("place"))
+
+
+@query("q137_asset_routes", f"""WITH {B.CONCEPTS}, {B.BLOCKS}, e AS (SELECT DISTINCT filename, unnest(source_blocks) AS block_id FROM lc), r AS (SELECT block_id, count(*) AS k, min(filename) AS f FROM e GROUP BY 1), eb AS (SELECT e.filename, lb.document_id, array_to_string(lb.heading_path, '>') AS path FROM e JOIN lb USING (block_id)),
+ dr AS (SELECT document_id, count(DISTINCT filename) AS k, min(filename) AS f FROM eb GROUP BY 1), hr AS (SELECT document_id, path, count(DISTINCT filename) AS k, min(filename) AS f FROM eb WHERE path IS NOT NULL GROUP BY 1, 2)
+ SELECT lb.block_id AS asset_id, CASE WHEN r.k = 1 THEN r.f WHEN r.k > 1 THEN NULL WHEN dr.k = 1 THEN dr.f WHEN hr.k = 1 THEN hr.f END AS concept, CASE WHEN r.k = 1 THEN 'hint' WHEN r.k > 1 THEN 'ambiguous' WHEN dr.k = 1 THEN 'single_group' WHEN hr.k = 1 THEN 'section' WHEN dr.k > 1 THEN 'ambiguous' ELSE 'unresolved' END AS route
+ FROM lb LEFT JOIN r USING (block_id) LEFT JOIN dr USING (document_id) LEFT JOIN hr ON hr.document_id = lb.document_id AND hr.path = array_to_string(lb.heading_path, '>') WHERE block_type IN ('image', 'table')""")
+def _(s, d):
+    """A unique hint wins, then the document's only concept, then the only one of the asset's own section; a tie is no route."""
+    b = B.blocks(s, d).select("block_id", "document_id", "block_type", F.array_join("heading_path", ">").alias("path"))
+    e = B.concepts(s, d).select("filename", F.explode("source_blocks").alias("block_id")).distinct()
+    r = e.groupBy("block_id").agg(F.count("*").alias("k"), F.min("filename").alias("f"))
+    eb = e.join(b, "block_id")
+    dr = eb.groupBy("document_id").agg(F.count_distinct("filename").alias("dk"), F.min("filename").alias("df"))
+    hr = eb.where("path is not null").groupBy("document_id", "path").agg(F.count_distinct("filename").alias("hk"), F.min("filename").alias("hf"))
+    j = b.where("block_type in ('image', 'table')").join(r, "block_id", "left").join(dr, "document_id", "left").join(hr, ["document_id", "path"], "left")
+    one = lambda c: F.coalesce(F.col(c) == 1, F.lit(False))
+    many = F.coalesce(F.col("k") > 1, F.lit(False))
+    concept = F.when(one("k"), F.col("f")).when(many, F.lit(None)).when(one("dk"), F.col("df")).when(one("hk"), F.col("hf"))
+    route = F.when(one("k"), "hint").when(many, "ambiguous").when(one("dk"), "single_group").when(one("hk"), "section").when(F.col("dk") > 1, "ambiguous").otherwise("unresolved")
+    return j.select(F.col("block_id").alias("asset_id"), concept.alias("concept"), route.alias("route"))
 
 
 @query("q142_unsupported_years", f"WITH {B.ATOMS}, {B.CONCEPTS}, ev AS (SELECT DISTINCT filename, unnest(regexp_extract_all(text, '(?:19|20)[0-9]{{2}}')) AS y FROM (SELECT filename, unnest(list_distinct(source_blocks)) AS block_id FROM lc) JOIN atm USING (block_id)), cl AS (SELECT DISTINCT filename, unnest(regexp_extract_all(body, '(?:19|20)[0-9]{{2}}')) AS y FROM lc) SELECT filename, y AS year FROM cl WHERE (filename, y) NOT IN (SELECT filename, y FROM ev)")

@@ -129,3 +129,79 @@ def articles(blocks: DataFrame) -> DataFrame:
     body = F.array_join(F.transform("b", lambda x: x["t"]), "\n\n")
     head = F.concat(F.lit("---\ndocument_id: "), "document_id", F.lit("\nblocks: "), F.size("b").cast("string"), F.lit("\n---\n\n"))
     return lines.select("document_id", F.concat(head, body).alias("markdown"))
+
+
+def write_if_changed(df: DataFrame, path: str, keys: list[str]) -> bool:
+    """Replaces the parquet table at ``path`` only if its rows differ; says whether it did. Rows are compared by counts and sums
+    of row hashes, so nothing is collected; the order of rows doesn't matter."""
+    spark = df.sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    if path_of(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path_of(path)):
+        old = spark.read.parquet(path)
+        if sorted(old.columns) == sorted(df.columns) and _print(old, sorted(df.columns)) == _print(df, sorted(df.columns)):
+            return False
+    replace_table(df.dropDuplicates(keys), path)
+    return True
+
+
+def _print(df: DataFrame, columns: list[str]) -> tuple:
+    h = F.sha2(F.to_json(F.struct(*columns)), 256)
+    part = lambda k: F.sum(F.conv(F.substring(h, k, 12), 16, 10).cast("decimal(38,0)"))
+    return tuple(df.distinct().agg(F.count("*"), part(1), part(13), part(25)).first())
+
+
+def append_log(df: DataFrame, path: str, day: str) -> None:
+    """Adds entries to the log of a day (``day`` names a date column): a directory a day, committed at once."""
+    df.withColumn("log_day", F.col(day).cast("date")).write.mode("append").partitionBy("log_day").json(path)
+
+
+class FolderWriter:
+    """Writes assets into a folder all executors share, each beside its place first and then renamed; bytes that are already there
+    aren't written again. Any object with ``put(name, content) -> uri`` can stand in its place, such as one for an object store."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def put(self, name: str, content: bytes) -> str:
+        import os
+        import uuid
+
+        name = os.path.normpath("/" + name).lstrip("/")  # a name can't lead out of the folder
+        to = os.path.join(self.folder, name)
+        os.makedirs(os.path.dirname(to), exist_ok=True)
+        if not (os.path.exists(to) and os.path.getsize(to) == len(content) and open(to, "rb").read() == content):  # noqa: SIM115
+            beside = f"{to}.{uuid.uuid4().hex}"
+            try:
+                with open(beside, "wb") as f:
+                    f.write(content)
+                os.replace(beside, to)
+            finally:
+                if os.path.exists(beside):
+                    os.remove(beside)
+        return f"file://{to}"
+
+
+def write_assets(assets: DataFrame, writer, name: str = "asset_path", content: str = "content") -> DataFrame:
+    """(name, uri, sha256, error) of each asset after ``writer.put`` in the tasks; one that fails is a row with its error. Written
+    lazily: an action on the result writes. Null names and contents are errors; a task that is run again writes the same bytes."""
+    import hashlib
+
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for n, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    rows.append((n, writer.put(n, c), hashlib.sha256(c).hexdigest(), None))
+                except Exception as e:  # noqa: BLE001
+                    rows.append((n, None, None, f"{type(e).__name__}: {e}"))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(4)], ["name", "uri", "sha256", "error"])
+
+    return assets.select(name, F.col(content).cast("binary").alias("c")).mapInArrow(run, "name string, uri string, sha256 string, error string")
+
+
+def document_ir(spark: SparkSession, path: str) -> DataFrame:
+    """Persisted documents (JSON lines) in the typed form they had; a line that isn't one stops the read."""
+    schema = "document_id string, source_file string, source_sha256 string, title string, parser string, parser_output string, page_count int, processed_at timestamp, blocks array<struct<" + BLOCK.replace(", ", ",").replace(" ", ":") + ">>"
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

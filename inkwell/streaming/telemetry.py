@@ -49,3 +49,20 @@ def latencies(events: DataFrame, idle: str = "10 minutes") -> DataFrame:
 
     e = events.withWatermark("ts", idle)
     return e.groupBy("request_id").applyInPandasWithState(step, LATENCY, "first double, content double, last double, n long, tokens long, done boolean", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def sentence_batches(rows: DataFrame, key: str, text: str, most: int = 8) -> DataFrame:
+    """(key, batch, sentences): each text's sentences in batches of at most ``most``, in order; works on streams and tables."""
+    from inkwell.functions.text import sentences
+
+    s = rows.select(key, sentences(F.col(text)).alias("s")).where(F.size("s") > 0)
+    starts = F.sequence(F.lit(0), F.floor((F.size("s") - 1) / most).cast("int"))
+    return s.select(key, "s", F.explode(starts).alias("batch")).select(key, "batch", F.expr(f"slice(s, batch * {most} + 1, {most})").alias("sentences"))
+
+
+def keyed_sink(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
+    """Starts a query that adds each micro-batch's new keys to the parquet table at ``path``. A batch delivered again after a
+    failure adds nothing, as its keys are there."""
+    from inkwell.sources.files import write_new
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: write_new(df, path, keys)).start()

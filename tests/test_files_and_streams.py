@@ -99,3 +99,56 @@ def test_latencies(spark, tmp_path):
     out = {r.request_id: r for r in run(spark, T.latencies(stream), tmp_path, "l")}
     r = out["r1"]
     assert (r.first_content - r.first_event, r.last_event - r.first_event, r.tokens, r.events, r.done) == (2.0, 4.0, 3, 3, True)
+
+
+def test_write_if_changed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")
+    assert S.write_if_changed(df, path, ["id"]) and not S.write_if_changed(df.orderBy("v").repartition(3), path, ["id"])
+    more = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    assert S.write_if_changed(more, path, ["id"]) and {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "b")}
+    empty = spark.createDataFrame([], "id int, v string")
+    assert S.write_if_changed(empty, str(tmp_path / "e"), ["id"]) and not S.write_if_changed(empty, str(tmp_path / "e"), ["id"])
+
+
+def test_dated_log(spark, tmp_path):
+    df = spark.createDataFrame([("a", "2024-01-02"), ("b", "2024-01-03")], "entry string, at string")
+    S.append_log(df, str(tmp_path / "log"), "at")
+    S.append_log(df, str(tmp_path / "log"), "at")
+    got = spark.read.json(str(tmp_path / "log"))
+    assert got.count() == 4 and got.where("log_day = '2024-01-03'").select("entry").distinct().first()[0] == "b"
+
+
+def test_assets_are_written_once_and_failures_are_rows(spark, tmp_path):
+    df = spark.createDataFrame([("x/a.png", bytearray(b"1")), ("../out.png", bytearray(b"2")), (None, bytearray(b"3")), ("n", None)], "asset_path string, content binary")
+    for _ in range(2):
+        out = {r.name: r for r in S.write_assets(df, S.FolderWriter(str(tmp_path / "f"))).collect()}
+        assert out["x/a.png"].uri.endswith("f/x/a.png") and out["../out.png"].uri.endswith("f/out.png") and out[None].error and out["n"].error
+    assert sorted(p.name for p in (tmp_path / "f").rglob("*") if p.is_file()) == ["a.png", "out.png"]
+
+
+def test_documents_are_read_back_typed(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps({"document_id": "d", "page_count": 2, "processed_at": "2024-01-02T03:04:05", "blocks": [{"block_id": "b", "heading_path": ["h"]}]}) + "\n")
+    r = S.document_ir(spark, str(tmp_path / "d.json")).first()
+    assert r.page_count == 2 and r.blocks[0].heading_path == ["h"] and r.title is None
+    (tmp_path / "e.json").write_text("{no\n")
+    with pytest.raises(Exception):
+        S.document_ir(spark, str(tmp_path / "e.json")).collect()
+
+
+def test_sentence_batches(spark):
+    df = spark.createDataFrame([("a", "一。二！三？四；"), ("n", None), ("e", "")], "k string, t string")
+    assert [(r.k, r.batch, r.sentences) for r in T.sentence_batches(df, "k", "t", 3).orderBy("batch").collect()] == [("a", 0, ["一。", "二！", "三？"]), ("a", 1, ["四；"])]
+
+
+def test_keyed_sink_adds_a_key_once(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for k, rows in enumerate(([("a", 1), ("b", 2)], [("b", 3), ("c", 4)])):
+        (src / f"{k}.json").write_text("\n".join(json.dumps({"id": i, "v": v}) for i, v in rows))
+    stream = spark.readStream.schema("id string, v int").option("maxFilesPerTrigger", 1).json(str(src))
+    q = T.keyed_sink(stream, out, ["id"], str(tmp_path / "cp"))
+    q.processAllAvailable()
+    q.stop()
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == ["a", "b", "c"]
