@@ -281,7 +281,7 @@ def test_pipeline_stages_and_resume(spark):
     q = spark.createDataFrame([("q1", "tariff rules"), ("q2", "school")], "question_id string, question string")
     c = hybrid.Config(sparse_k=3, rerank_k=2, context_budget=25)
     t = hybrid.trace(q, u, config=c)
-    assert {r[0] for r in t.select("stage").distinct().collect()} == {"sparse", "fused", "reranked"}
+    assert {r[0] for r in t.select("stage").distinct().collect()} == {"sparse", "dense", "fused", "reranked"}
     assert rows(t.where("stage = 'reranked' and rank = 1"), "question_id", "unit_id") == [("q1", "u0"), ("q2", "u1")]
     assert {r.question_id: r.unit_ids for r in hybrid.contexts(t, u, config=c).collect()}["q1"] == ["u0"]
     whole = hybrid.experiment(q, {"A": u, "B": u}, config=c).cache()
