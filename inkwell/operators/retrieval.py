@@ -6,11 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import tokens
+from inkwell.operators.units import SEPARATOR
 
 K1, B = 1.5, 0.75
 QUERY_BLOCK, UNIT_BLOCK = 1024, 4096  # queries and units whose scores are in a worker's memory at once (32 MB)
@@ -42,24 +44,25 @@ def bm25(post: DataFrame, questions: DataFrame, question: str = "question_id", t
     return hit.groupBy("question_id", "unit_id").agg(F.sum(part).alias("score"))
 
 
-def _blocks(rows: DataFrame, order: list[str], size: int, pack, schema: str) -> DataFrame:
-    """Rows of a partition, ``size`` at a time, as one packed row each (``pack`` makes it of a table)."""
+def _filled(batches: Iterator[pa.RecordBatch], size: int, pack) -> Iterator[pa.RecordBatch]:
+    """Rows, ``size`` at a time, as one packed row each (``pack`` makes it of a table)."""
+    held, n = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, size - n)
+            held.append(part)
+            n += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if n == size:
+                yield from pack(pa.Table.from_batches(held)).to_batches()
+                held, n = [], 0
+    if n:
+        yield from pack(pa.Table.from_batches(held)).to_batches()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, size - n)
-                held.append(part)
-                n += part.num_rows
-                batch = batch.slice(part.num_rows)
-                if n == size:
-                    yield from pack(pa.Table.from_batches(held)).to_batches()
-                    held, n = [], 0
-        if n:
-            yield from pack(pa.Table.from_batches(held)).to_batches()
 
-    return rows.select(*order).mapInArrow(run, schema)
+def _blocks(rows: DataFrame, order: list[str], size: int, pack, schema: str) -> DataFrame:
+    """``_filled`` over the rows of each partition."""
+    return rows.select(*order).mapInArrow(lambda batches: _filled(batches, size, pack), schema)
 
 
 def _best(scores: np.ndarray, k: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -74,64 +77,165 @@ def _one(values, kind: pa.DataType) -> pa.Array:
     return pa.array([values], pa.list_(kind))
 
 
+_UNITS = "ids array<string>, dl array<int>, terms array<string>, starts array<int>, at array<smallint>, tf array<int>"
+
+
+def _pack_units(t: pa.Table) -> pa.Table:
+    t = t.sort_by("unit_id")
+    col = t.column("t").combine_chunks()
+    lengths = np.diff(col.offsets.to_numpy())
+    coded = col.flatten().dictionary_encode()
+    terms, n = coded.dictionary, t.num_rows
+    key, tf = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), lengths), return_counts=True) if len(coded) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    starts = np.searchsorted(key // n, np.arange(len(terms) + 1))
+    return pa.table([_one(t.column("unit_id").to_pylist(), pa.string()), _one(lengths.astype(np.int32), pa.int32()), _one(terms.to_pylist(), pa.string()), _one(starts.astype(np.int32), pa.int32()), _one((key % n).astype(np.int16), pa.int16()), _one(tf.astype(np.int32), pa.int32())], ["ids", "dl", "terms", "starts", "at", "tf"])
+
+
+def unit_blocks(units: DataFrame, unit: str = "unit_id", text: str = "retrieval_text") -> DataFrame:
+    """Units packed into blocks of postings sorted by term: ids, dl, terms, and for term n ``at`` (places in ids) and ``tf`` from
+    starts[n] to starts[n + 1]. All that BM25 needs of the texts, in less room than the texts."""
+    read = units.select(F.col(unit).cast("string").alias("unit_id"), tokens(F.col(text)).alias("t"))
+    return _blocks(read, ["unit_id", "t"], UNIT_BLOCK, _pack_units, _UNITS)
+
+
+def chunk_blocks(atoms: DataFrame, max_chars: int = 1200) -> DataFrame:
+    """``unit_blocks`` of ``fixed_chunks``, without a further shuffle of texts: the window that gave atoms their positions has put a
+    document's atoms into one partition, where they are sorted and packed as they pass. The blank line between atoms is white
+    space, so a unit's tokens are those of its atoms, one after another. ``atoms`` are those of ``units.atoms``."""
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        article, used, g = None, 0, 0
+        name, held = None, []  # of the unit that isn't ended
+
+        def out(ids: list[str], lists: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), lists], ["unit_id", "t"])
+
+        def ended() -> pa.RecordBatch:
+            values = pa.concat_arrays(held)
+            return out([name], pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+
+        for batch in batches:
+            cuts, names = [], []
+            for i, (a, n) in enumerate(zip(batch.column("article_id").to_pylist(), batch.column("n").to_pylist())):
+                if a != article:
+                    article, used, g = a, n, 1
+                elif used + n + SEPARATOR > max_chars:
+                    used, g = n, g + 1
+                else:
+                    used += n + SEPARATOR
+                    continue
+                cuts.append(i)
+                names.append(f"t0-{a}-{str(g).rjust(5, '0')[:5]}")  # as lpad
+            t = batch.column("t")
+            at, values = t.offsets.to_numpy(), t.values
+            piece = lambda i, j: values.slice(at[i], at[j] - at[i])  # noqa: E731, B023
+            if name is not None:
+                held.append(piece(0, cuts[0] if cuts else len(t)))
+            if cuts:
+                if name is not None:
+                    yield ended()
+                if len(cuts) > 1:
+                    yield out(names[:-1], pa.ListArray.from_arrays(pa.array(at[cuts], pa.int32()), values))
+                name, held = names[-1], [piece(cuts[-1], len(t))]
+        if name is not None:
+            yield ended()
+
+    read = atoms.select("article_id", "pos", "n", "text").sortWithinPartitions("article_id", "pos").select("article_id", "n", tokens(F.col("text")).alias("t"))
+    return read.mapInArrow(lambda batches: _filled(chunks(batches), UNIT_BLOCK, _pack_units), _UNITS)
+
+
 def bm25_top_k(units: DataFrame, questions: DataFrame, k: int, unit: str = "unit_id", unit_text: str = "retrieval_text", question: str = "question_id", text: str = "question") -> DataFrame:
     """(question_id, unit_id, score): the k best of ``bm25`` per question and block of units, a superset of the k best.
 
     Units are packed into blocks of postings sorted by term, questions into blocks of weighted terms; each pair of blocks is
-    scored in memory, term by term, and sends k rows a question on. No posting and no partial sum is shuffled: only the document
-    frequencies and what each block ranks best. Blocks are bounded in rows, so memory is too."""
-    read = units.select(F.col(unit).cast("string").alias("unit_id"), tokens(F.col(unit_text)).alias("t"))
-    asked = questions.select(F.col(question).cast("string").alias("question_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("question_id", "term").agg(F.count("*").alias("qf"))
+    scored in memory, question by question, and sends k rows a question on at most. No posting and no partial sum is shuffled: only
+    the document frequencies and what each block ranks best. Blocks are bounded in rows, so memory is too."""
+    read = units.select(tokens(F.col(unit_text)).alias("t"))
     s = read.where("size(t) > 0").agg(F.count("*").alias("units"), F.avg(F.size("t")).alias("avgdl"))
     df = read.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return _scored(unit_blocks(units, unit, unit_text), s, df, questions, k, question, text)
+
+
+def bm25_top_k_of_blocks(blocks: DataFrame, questions: DataFrame, k: int, question: str = "question_id", text: str = "question") -> DataFrame:
+    """``bm25_top_k`` of ``unit_blocks``, which should be checkpointed: frequencies and lengths are read off the blocks too."""
+    s = blocks.select(F.explode("dl").alias("dl")).where("dl > 0").agg(F.count("*").alias("units"), F.avg("dl").alias("avgdl"))
+    df = blocks.select(F.expr("inline(transform(terms, (t, i) -> struct(t as term, starts[i + 1] - starts[i] as n)))")).groupBy("term").agg(F.sum("n").alias("df"))
+    return _scored(blocks, s, df, questions, k, question, text)
+
+
+def _scored(u: DataFrame, s: DataFrame, df: DataFrame, questions: DataFrame, k: int, question: str, text: str) -> DataFrame:
+    asked = questions.select(F.col(question).cast("string").alias("question_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("question_id", "term").agg(F.count("*").alias("qf"))
     idf = F.log(1 + (F.col("units") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = asked.join(df, "term").join(F.broadcast(s)).select("question_id", "term", (F.col("qf") * idf).alias("w"), "avgdl")  # one row
     lists = weighed.groupBy("question_id").agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("w"), F.first("avgdl").alias("avgdl"))
 
-    def pack_units(t: pa.Table) -> pa.Table:
-        t = t.sort_by("unit_id")
-        col = t.column("t").combine_chunks()
-        lengths = np.diff(col.offsets.to_numpy())
-        coded = col.flatten().dictionary_encode()
-        terms, n = coded.dictionary, t.num_rows
-        key, tf = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), lengths), return_counts=True) if len(coded) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        starts = np.searchsorted(key // n, np.arange(len(terms) + 1))
-        return pa.table([_one(t.column("unit_id").to_pylist(), pa.string()), _one(lengths.astype(np.int32), pa.int32()), _one(terms.to_pylist(), pa.string()), _one(starts.astype(np.int32), pa.int32()), _one((key % n).astype(np.int32), pa.int32()), _one(tf.astype(np.int32), pa.int32())], ["ids", "dl", "terms", "starts", "at", "tf"])
-
     def pack_questions(t: pa.Table) -> pa.Table:
         who, terms, w = t.column("question_id").to_pylist(), t.column("terms").combine_chunks(), t.column("w").combine_chunks()
         return pa.table([_one(who, pa.string()), _one(np.repeat(np.arange(len(who), dtype=np.int32), np.diff(terms.offsets.to_numpy())), pa.int32()), _one(terms.flatten().to_pylist(), pa.string()), _one(w.flatten().to_numpy(), pa.float64()), pa.array([t.column("avgdl")[0].as_py()], pa.float64())], ["who", "row", "asked", "w", "avgdl"])
 
-    u = _blocks(read, ["unit_id", "t"], UNIT_BLOCK, pack_units, "ids array<string>, dl array<int>, terms array<string>, starts array<int>, at array<int>, tf array<int>")
     q = _blocks(lists, ["question_id", "terms", "w", "avgdl"], QUERY_BLOCK, pack_questions, "who array<string>, row array<int>, asked array<string>, w array<double>, avgdl double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows: dict[str | None, np.ndarray] = {}  # of each block of questions, by its first: the k-th best score of any block of units so far
+        held, post = None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, dl, terms, starts, at, tf, who, row, asked, w, avgdl = (batch.column(c)[i] for c in range(11))
-                number = {t: n for n, t in enumerate(terms.as_py())}
-                starts, at, dl = (x.values.to_numpy() for x in (starts, at, dl))
-                tf = tf.values.to_numpy().astype(np.float64)
-                part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[at] / avgdl.as_py())) if len(at) else tf
-                scores = np.zeros((len(who.values), len(dl)))
-                for r, term, weight in zip(row.values.to_numpy().tolist(), asked.as_py(), w.values.to_numpy().tolist()):
-                    n = number.get(term)
-                    if n is not None:
-                        a, b = starts[n], starts[n + 1]
-                        scores[r, at[a:b]] += weight * part[a:b]
-                yield _hits(np.round(scores, 9), who.values, ids.values, k, 0.0)
+                if held is None or not held.equals(ids.values):  # a block of units comes once for each block of questions
+                    held, post = ids.values, _parts(*(x.values.to_numpy() for x in (dl, starts, at, tf)), avgdl.as_py())
+                low = lows.setdefault(who.values[0].as_py(), np.zeros(len(who.values)))
+                number = pc.index_in(asked.values, value_set=terms.values).fill_null(-1).to_numpy(zero_copy_only=False)
+                yield _taken(who.values, ids.values, *_ranked(*post, len(ids.values), row.values.to_numpy(), number, w.values.to_numpy(), low, k))
 
     # a stated set of questions against all units, block by block
     return u.crossJoin(q).mapInArrow(score, "question_id string, unit_id string, score double")
 
 
+def _parts(dl: np.ndarray, starts: np.ndarray, at: np.ndarray, tf: np.ndarray, avgdl: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, places, what each posting gives a term of weight 1, the most a term gives any unit)."""
+    at, tf = at.astype(np.intp), tf.astype(np.float64)
+    part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[at] / avgdl)) if len(at) else tf
+    return starts, at, part, np.maximum.reduceat(part, starts[:-1]) if len(at) else part
+
+
+def _ranked(starts: np.ndarray, at: np.ndarray, part: np.ndarray, most: np.ndarray, units: int, row: np.ndarray, number: np.ndarray, w: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, unit, score) of the k best units of each question, without those under ``low``, which is raised. A question whose
+    terms can't reach its ``low`` together is passed over: k units elsewhere are better than all of these."""
+    there = number >= 0
+    row, number, w = row[there], number[there], w[there]
+    reach = np.bincount(row, w * most[number], len(low)) if len(row) else np.zeros(len(low))
+    ends = np.searchsorted(row, np.arange(len(low) + 1))
+    a, b, w = starts[number].tolist(), starts[number + 1].tolist(), w.tolist()
+    sums, rows, cols, scores = np.zeros(units), [], [], []
+    for r in np.flatnonzero((reach > 0) & (reach > low - 1e-8)).tolist():
+        sums[:] = 0
+        for n in range(ends[r], ends[r + 1]):
+            sums[at[a[n] : b[n]]] += w[n] * part[a[n] : b[n]]
+        c = np.flatnonzero(sums > max(low[r] - 1e-8, 0))
+        s = np.round(sums[c], 9)
+        if len(c) > k:
+            cut = np.partition(s, len(s) - k)[len(s) - k]
+            low[r] = max(low[r], cut)
+        keep = (s >= low[r]) & (s > 0)
+        c, s = c[keep], s[keep]
+        best = np.argsort(-s, kind="stable")[:k]  # ties to the smaller id
+        rows.append(np.full(len(best), r))
+        cols.append(c[best])
+        scores.append(s[best])
+    return tuple(np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((rows, np.intp), (cols, np.intp), (scores, np.float64)))
+
+
+def _taken(who: pa.Array, ids: pa.Array, r: np.ndarray, c: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([who.take(pa.array(r)), ids.take(pa.array(c)), pa.array(scores)], ["question_id", "unit_id", "score"])
+
+
 def _hits(scores: np.ndarray, who: pa.Array, ids: pa.Array, k: int, least: float) -> pa.RecordBatch:
     rows, cols = [], []
     for row, at in _best(scores, k, least):
         rows.append(np.full(len(at), row))
         cols.append(at)
     r, c = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols))
-    return pa.RecordBatch.from_arrays([who.take(pa.array(r)), ids.take(pa.array(c)), pa.array(scores[r, c])], ["question_id", "unit_id", "score"])
+    return _taken(who, ids, r, c, scores[r, c])
 
 
 def top_k(scores: DataFrame, k: int, score: Column | None = None, ties: list[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from inkwell.functions import text as X
 from inkwell.operators import resolve, retrieval, structure, units, versioning
 from inkwell.plans import base as B
 from inkwell.plans.knowledge_queries import _EDGES, refs
-from inkwell.session import table
+from inkwell.session import checkpoint, table
 
 Q: dict[str, tuple] = {}
 
@@ -165,8 +165,8 @@ def _(s, d):
 @query("q176_expanded_questions", f"WITH RECURSIVE {B.T0}, {B.CONCEPTS}, qu AS (SELECT filename AS question_id, title || chr(10) || chr(10) || concept_type AS question FROM lc WHERE title IS NOT NULL), {B.BM25} SELECT question_id, unit_id, rank FROM (SELECT question_id, unit_id, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, unit_id) AS rank FROM bm) WHERE rank <= 10")
 def _(s, d):
     q = B.concepts(s, d).where("title is not null").select(F.col("filename").alias("question_id"), F.concat("title", F.lit("\n\n"), "concept_type").alias("question"))
-    scores = retrieval.bm25(retrieval.postings(units.fixed_chunks(B.atoms(s, d))), q)
-    return retrieval.top_k(scores, 10).select("question_id", "unit_id", F.col("rank").cast("long"))
+    index = checkpoint(retrieval.chunk_blocks(B.atoms(s, d)))
+    return retrieval.top_k(retrieval.bm25_top_k_of_blocks(index, q, 10), 10).select("question_id", "unit_id", F.col("rank").cast("long"))
 
 
 @query("q195_group_hashes", f"WITH RECURSIVE {_EDGES}, un AS (SELECT left_ref AS a, right_ref AS b FROM ed UNION SELECT right_ref, left_ref FROM ed), rc AS (SELECT a AS node, a AS reach FROM un UNION SELECT rc.node, un.b FROM rc JOIN un ON rc.reach = un.a), co AS (SELECT node, min(reach) AS component FROM rc GROUP BY 1) SELECT component, count(*) AS members, sha256(string_agg(node, chr(0) ORDER BY node)) AS group_hash FROM co GROUP BY 1")

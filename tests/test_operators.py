@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import text as X
@@ -288,3 +290,48 @@ def test_pipeline_stages_and_resume(spark):
     rest = hybrid.experiment(q, {"A": u, "B": u}, done=whole.where("arm = 'A'"), config=c)
     assert {(r.arm, r.question_id) for r in rest.collect()} == {("B", "q1"), ("B", "q2")}
     assert hybrid.Config(rrf_k=10).fingerprint() != c.fingerprint()
+
+
+def test_chunks_packed_as_they_pass_equal_the_joined_ones(spark):
+    rng = random.Random(3)
+    a = [(f"d{k // 400 if k < 800 else k}", k, " \n ".join(rng.choice(("Ab", "ΑΣ", "word", "长词", "x" * 1300)) for _ in range(rng.choice((1, 3, 40, 300))))) for k in range(1000)]
+    a = spark.createDataFrame(a, "article_id string, pos int, text string").withColumn("n", F.char_length("text"))
+    a = a.withColumn("pos", F.row_number().over(Window.partitionBy("article_id").orderBy("pos"))).withColumn("atom_id", F.col("pos").cast("string")).withColumn("page", F.lit(1))
+
+    def postings(blocks):
+        out = []
+        for r in blocks.collect():
+            for n, term in enumerate(r.terms):
+                out += [(r.ids[i], r.dl[i], term, tf) for i, tf in zip(r["at"][r.starts[n] : r.starts[n + 1]], r.tf[r.starts[n] : r.starts[n + 1]])]
+        return sorted(out)
+
+    want = postings(retrieval.unit_blocks(units.fixed_chunks(a)))
+    assert len({x[0] for x in want}) > 500
+    for size in ("3", "10000"):  # units that go over an end of a batch, and none
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert postings(retrieval.chunk_blocks(a)) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert retrieval.chunk_blocks(a.where("false")).count() == 0
+
+
+def test_blocks_give_the_full_sums_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "UNIT_BLOCK", 64)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 16)
+    rng = random.Random(9)
+    words = [f"w{min(int(rng.expovariate(0.05)), 300)}" for _ in range(5000)] + ["the"] * 2000
+    u = spark.createDataFrame([(f"u{k:04}", " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for k in range(700)], "unit_id string, retrieval_text string").coalesce(1)
+    q = spark.createDataFrame([(f"q{k}", " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for k in range(60)] + [(None, "the w1"), ("e", ""), ("n", None)], "question_id string, question string")
+    key = lambda r: (r.question_id or "", r["rank"], r.unit_id, round(r.score, 6))
+    for k in (1, 10):
+        want = sorted(map(key, retrieval.top_k(retrieval.bm25(retrieval.postings(u), q), k).collect()))
+        assert sorted(map(key, retrieval.top_k(retrieval.bm25_top_k_of_blocks(retrieval.unit_blocks(u), q, k), k).collect())) == want
+
+
+def test_expanded_questions_shuffle_no_score_of_each_pair(spark):
+    from inkwell import catalogue
+
+    df = catalogue.queries()["q176_expanded_questions"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(question_id#\d+, unit_id", plan) and "MapInArrow" in plan
