@@ -16,6 +16,7 @@ from inkwell.operators.units import SEPARATOR
 
 K1, B = 1.5, 0.75
 QUERY_BLOCK, UNIT_BLOCK = 1024, 4096  # queries and units whose scores are in a worker's memory at once (32 MB)
+QUESTION_BLOCK = 8192  # questions of BM25, whose scores are held one question at a time
 
 
 def postings(units: DataFrame, unit: str = "unit_id", text: str = "retrieval_text") -> DataFrame:
@@ -173,7 +174,7 @@ def _scored(u: DataFrame, s: DataFrame, df: DataFrame, questions: DataFrame, k:
         who, terms, w = t.column("question_id").to_pylist(), t.column("terms").combine_chunks(), t.column("w").combine_chunks()
         return pa.table([_one(who, pa.string()), _one(np.repeat(np.arange(len(who), dtype=np.int32), np.diff(terms.offsets.to_numpy())), pa.int32()), _one(terms.flatten().to_pylist(), pa.string()), _one(w.flatten().to_numpy(), pa.float64()), pa.array([t.column("avgdl")[0].as_py()], pa.float64())], ["who", "row", "asked", "w", "avgdl"])
 
-    q = _blocks(lists, ["question_id", "terms", "w", "avgdl"], QUERY_BLOCK, pack_questions, "who array<string>, row array<int>, asked array<string>, w array<double>, avgdl double")
+    q = _blocks(lists, ["question_id", "terms", "w", "avgdl"], QUESTION_BLOCK, pack_questions, "who array<string>, row array<int>, asked array<string>, w array<double>, avgdl double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lows: dict[str | None, np.ndarray] = {}  # of each block of questions, by its first: the k-th best score of any block of units so far
@@ -187,8 +188,9 @@ def _scored(u: DataFrame, s: DataFrame, df: DataFrame, questions: DataFrame, k:
                 number = pc.index_in(asked.values, value_set=terms.values).fill_null(-1).to_numpy(zero_copy_only=False)
                 yield _taken(who.values, ids.values, *_ranked(*post, len(ids.values), row.values.to_numpy(), number, w.values.to_numpy(), low, k))
 
-    # a stated set of questions against all units, block by block
-    return u.crossJoin(q).mapInArrow(score, "question_id string, unit_id string, score double")
+    # a stated set of questions against all units, block by block; in few parts of the units, as each part sends k rows a question on
+    few = u.coalesce(2 * u.sparkSession.sparkContext.defaultParallelism)
+    return few.crossJoin(q).mapInArrow(score, "question_id string, unit_id string, score double")
 
 
 def _parts(dl: np.ndarray, starts: np.ndarray, at: np.ndarray, tf: np.ndarray, avgdl: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -318,7 +318,7 @@ def test_chunks_packed_as_they_pass_equal_the_joined_ones(spark):
 
 def test_blocks_give_the_full_sums_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "UNIT_BLOCK", 64)
-    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(retrieval, "QUESTION_BLOCK", 16)
     rng = random.Random(9)
     words = [f"w{min(int(rng.expovariate(0.05)), 300)}" for _ in range(5000)] + ["the"] * 2000
     u = spark.createDataFrame([(f"u{k:04}", " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for k in range(700)], "unit_id string, retrieval_text string").coalesce(1)
